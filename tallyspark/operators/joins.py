@@ -5,20 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.session import shared_dir
+from tallyspark.session import stage
 
 # Rows a broadcast side may have. At ~100 bytes a row this is ~100 MB per
 # executor, the upper end of what a broadcast should carry.
 BROADCAST_MAX_ROWS = 1_000_000
+# Estimated size below which no count is needed (Spark's own default
+# broadcast threshold).
+ESTIMATE_MAX_BYTES = 10 * 1024 * 1024
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (file sizes for scans; an
+    upper bound after filters and aggregates). Costs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    The count stops after ``max_rows + 1`` rows. Beyond the bound the frame is
-    returned as is and the planner shuffles both sides (AQE splits skewed
-    partitions of that join).
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    max_bytes: int = ESTIMATE_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when its size is known to be bounded.
+
+    First the optimizer's estimate (no job): at most ``max_bytes`` -> broadcast.
+    Otherwise a row count that stops after ``max_rows + 1`` rows decides.
+    Beyond the bound the frame is returned as is and the planner shuffles both
+    sides (AQE splits skewed partitions of that join).
     """
+    if estimated_bytes(df) <= max_bytes:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -27,9 +40,7 @@ def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     """Compute a small derived side once, store it in the shared checkpoint
     folder (cuts lineage, survives executor loss) and broadcast it when the
     size check passes."""
-    shared_dir(df.sparkSession)
-    stored = df.checkpoint(eager=True)
-    return sized_broadcast(stored, max_rows)
+    return sized_broadcast(stage(df, "small"), max_rows)
 
 
 def first_by(df: DataFrame, keys: list, value: str, ord_col: str = "ord",

@@ -20,7 +20,7 @@ from tallyspark.functions.values import format_value, parse_value, value_ok
 from tallyspark.operators import layout, lookups, sections
 from tallyspark.operators.reshape import unpivot_periods
 from tallyspark.plans.load import load_reports
-from tallyspark.session import shared_dir
+from tallyspark.session import shared_dir, stage
 from tallyspark.sinks import tables as sink
 from tallyspark.sources.reports import number_lines, parse_lines
 from tallyspark.sources.tables import read_table
@@ -453,8 +453,16 @@ def report_dims(spark, d):
     return metric_map, suites, _calendar(spark, d)
 
 
+def report_parsed(spark, d) -> DataFrame:
+    """The rendered reports, numbered and parsed, stored once in the shared
+    folder (they stand for the report files a load reads)."""
+    # numbering reads its input twice (chunk counts, row numbers): render once
+    lines = stage(report_lines(spark, d), "report-lines")
+    return stage(parse_lines(number_lines(lines)), "report-parsed")
+
+
 def _report_load(spark, d, level):
-    parsed = parse_lines(number_lines(report_lines(spark, d)))
+    parsed = report_parsed(spark, d)
     metric_map, suites, cal = report_dims(spark, d)
     return load_reports(parsed, metric_map, suites, cal, level, RUN_TS)
 

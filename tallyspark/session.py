@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. AQE re-plans joins at run time: it turns a
 # side into a broadcast only after measuring it, and splits skewed partitions.
@@ -53,3 +54,16 @@ def shared_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tallyspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir().rstrip("/")
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared folder and read it back.
+
+    Cuts the lineage (later stages read the files, not the plan that made
+    them), survives the loss of any executor, and is columnar, so later
+    passes prune columns. Used where a derived frame is read more than once.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
