@@ -361,6 +361,7 @@ ORACLES = {
     "column_comments": COLUMN_COMMENTS,
     "report_load": _report_load("Month"),
     "report_load_quarter": _report_load("Quarter"),
+    "report_load_files": _report_load("Month"),
     "load_audit": LOAD_AUDIT,
     "write_append": f"SELECT * FROM ({FINAL_LAYOUT}) UNION ALL SELECT * FROM ({FINAL_LAYOUT})",
     "write_overwrite": FINAL_LAYOUT,

@@ -19,7 +19,7 @@ from tallyspark.functions.periods import month_key, quarter_key
 from tallyspark.functions.values import format_value, parse_value, value_ok
 from tallyspark.operators import layout, lookups, sections
 from tallyspark.operators.reshape import unpivot_periods
-from tallyspark.plans.load import load_reports
+from tallyspark.plans.load import load_files, load_reports
 from tallyspark.session import shared_dir, stage
 from tallyspark.sinks import tables as sink
 from tallyspark.sources.reports import number_lines, parse_lines
@@ -467,6 +467,18 @@ def _report_load(spark, d, level):
     return load_reports(parsed, metric_map, suites, cal, level, RUN_TS)
 
 
+def report_load_files(spark, d):
+    """The same reports written as text files (one per report, lines in file
+    order, junk lines included) to the shared folder, then read back through
+    the splittable file reader and loaded."""
+    path = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
+    (report_lines(spark, d).withColumnRenamed("report_id", "rid")
+     .repartition("rid").sortWithinPartitions("rid", "raw_pos")
+     .select("rid", "line").write.partitionBy("rid").text(path))
+    metric_map, suites, cal = report_dims(spark, d)
+    return load_files(spark, path, metric_map, suites, cal, LEVEL_MONTH, RUN_TS).rows
+
+
 def report_load(spark, d):
     return _report_load(spark, d, LEVEL_MONTH).rows
 
@@ -566,6 +578,7 @@ QUERIES = {
     "column_comments": column_comments,
     "report_load": report_load,
     "report_load_quarter": report_load_quarter,
+    "report_load_files": report_load_files,
     "load_audit": load_audit,
     "write_append": write_append,
     "write_overwrite": write_overwrite,
