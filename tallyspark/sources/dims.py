@@ -33,10 +33,15 @@ def read_dim(spark: SparkSession, path: str, fmt: str = "csv", ord_col: str = "o
 
 
 def read_time_dim(spark: SparkSession, table_or_path: str) -> DataFrame:
-    """Time dimension from the catalog (``db.table``) or a parquet path."""
-    if spark.catalog.tableExists(table_or_path):
+    """Time dimension from the catalog (``db.table``) or a parquet path.
+
+    Fails with a clear message when neither exists.
+    """
+    if "/" in table_or_path or ":" in table_or_path:
+        df = spark.read.parquet(table_or_path)
+    elif spark.catalog.tableExists(table_or_path):
         df = spark.table(table_or_path)
     else:
-        df = spark.read.parquet(table_or_path)
+        raise LookupError(f"time dimension {table_or_path!r} is not available")
     return df.select(*(F.col(c).cast("string").alias(c)
                        for c in ("timelvl", "timelvlnm", "timeid", "timeidnm")))
