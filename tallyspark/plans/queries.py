@@ -18,6 +18,7 @@ from tallyspark.functions.labels import label_ok, split_label, split_label_pipe
 from tallyspark.functions.periods import month_key, quarter_key
 from tallyspark.functions.values import format_value, parse_value, value_ok
 from tallyspark.operators import layout, lookups, sections
+from tallyspark.operators.joins import sized_broadcast
 from tallyspark.operators.reshape import unpivot_periods
 from tallyspark.plans.load import load_files, load_reports
 from tallyspark.session import shared_dir, stage
@@ -366,11 +367,16 @@ def report_lines(spark, d) -> DataFrame:
     preamble, a summary section, both month sections and a quarter section,
     one metric row per (priority, status) seen in the last two order years.
     A blank line and, for some customers, an over-wide line are mixed in.
-    ``(report_id, raw_pos, line)``."""
+    ``(report_id, raw_pos, line)``.
+
+    One aggregate gives the metric rows; one window over each customer's
+    (at most 15) metric rows numbers them; every metric row emits its four
+    section lines and the first one also the report's fixed lines.
+    """
     oc = _orders_customers(spark, d)
     last_year = oc.groupBy("c_custkey").agg(F.max("y").alias("ry"))
     oc = oc.join(last_year, "c_custkey").where(F.col("y") >= F.col("ry") - 1)
-    n = read_table(spark, d, "nation").select("n_nationkey", "n_name")
+    nation = read_table(spark, d, "nation").select("n_nationkey", "n_name")
     cat = (F.when(F.col("o_orderstatus") == "F", F.lit("Filled"))
            .when(F.col("o_orderstatus") == "O", F.lit("Open")).otherwise(F.lit("")))
     label = F.concat(F.lit("[T|"), F.lower(F.col("c_mktsegment")), F.lit("|web|"), F.col("o_orderpriority"),
@@ -381,10 +387,13 @@ def report_lines(spark, d) -> DataFrame:
     agg += [F.sum(F.when(~is_this & (F.col("mo") == m), 1)).alias(f"l{m}") for m in range(1, 13)]
     agg += [F.sum(F.when(~is_this & (F.col("q") == q), 1)).alias(f"lq{q}") for q in range(1, 5)]
     agg += [F.sum(F.when(is_this & (F.col("q") == q), 1)).alias(f"tq{q}") for q in range(1, 5)]
-    rows = oc.groupBy("c_custkey", "ry", "o_orderpriority", "o_orderstatus", label.alias("label")).agg(*agg)
-    # row index per report: at most 15 (priority, status) pairs per customer
-    rows = rows.withColumn("i", F.row_number().over(
-        Window.partitionBy("c_custkey").orderBy("o_orderpriority", "o_orderstatus")) - 1)
+    keys = ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", "ry", "o_orderpriority", "o_orderstatus"]
+    rows = oc.groupBy(*keys, label.alias("label")).agg(*agg)
+    rows = rows.join(sized_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    per_report = Window.partitionBy("c_custkey")
+    rows = rows.withColumns({
+        "i": F.row_number().over(per_report.orderBy("o_orderpriority", "o_orderstatus")) - 1,
+        "n": F.count(F.lit(1)).over(per_report)})
 
     def csv(*cells):
         return F.concat_ws(",", F.col("label"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells])
@@ -392,9 +401,6 @@ def report_lines(spark, d) -> DataFrame:
     row_text = [csv("s_this", "s_last"), csv(*[f"t{m}" for m in range(1, 13)]),
                 csv(*[f"l{m}" for m in range(1, 13)]),
                 csv(*[f"lq{q}" for q in range(1, 5)], *[f"tq{q}" for q in range(1, 5)])]
-    counts = rows.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("n"), F.first("ry").alias("ry"))
-    c = read_table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    head = counts.join(c, "c_custkey").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     suite = F.when(F.col("c_acctbal") < 0,
                    F.concat(F.lit('"# Report suite: '), F.col("n_name"), F.lit(", "), F.col("c_mktsegment"), F.lit('"'))
                    ).otherwise(F.concat(F.lit("# Report suite: "), F.col("n_name")))
@@ -413,15 +419,15 @@ def report_lines(spark, d) -> DataFrame:
             blocks_before += 1
             continue
         text = F.lit(item) if isinstance(item, str) else item
-        fixed.append(F.struct((F.lit(fixed_before) + F.lit(blocks_before) * F.col("n")).alias("p"),
+        fixed.append(F.struct((F.lit(fixed_before) + F.lit(blocks_before) * F.col("n")).cast("long").alias("p"),
                               text.alias("line")))
         fixed_before += 1
-    fixed_lines = head.select(F.col("c_custkey").cast("string").alias("report_id"), F.inline(F.array(*fixed)))
-    rows = rows.join(counts.select("c_custkey", "n"), "c_custkey")
-    row_lines = rows.select(F.col("c_custkey").cast("string").alias("report_id"), F.inline(F.array(*[
-        F.struct((F.lit(row_pos[k][0]) + F.lit(row_pos[k][1]) * F.col("n") + F.col("i")).alias("p"),
-                 row_text[k].alias("line")) for k in range(4)])))
-    return fixed_lines.unionByName(row_lines).select("report_id", F.col("p").cast("long").alias("raw_pos"), "line")
+    own = [F.struct((F.lit(row_pos[k][0]) + F.lit(row_pos[k][1]) * F.col("n") + F.col("i")).cast("long").alias("p"),
+                    row_text[k].alias("line")) for k in range(4)]
+    first = F.col("i") == 0
+    lines = F.concat(F.array(*own), F.filter(F.array(*fixed), lambda _: first))
+    return rows.select(F.col("c_custkey").cast("string").alias("report_id"), F.inline(lines)).select(
+        "report_id", F.col("p").alias("raw_pos"), "line")
 
 
 def report_dims(spark, d):

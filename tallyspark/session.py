@@ -17,6 +17,9 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no Python call-site capture per column function (error context only);
+    # it costs several driver round trips for every expression built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
