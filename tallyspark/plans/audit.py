@@ -1,7 +1,7 @@
 """Load audit: one row per run phase (start, end, fail), appended to a table.
 
-The counts are real: rows read (tagged long rows), rows written and rows
-rejected, each from one aggregate. The original error is re-raised, never
+The counts are real: long rows read, rows written and rows rejected,
+observed while the rows are written. The original error is re-raised, never
 replaced.
 """
 
@@ -10,10 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.functions.periods import run_ts as now_ts
 
+if TYPE_CHECKING:
+    from tallyspark.plans.load import LoadResult
+
 AUDIT_SCHEMA = ("phase string, ts string, jobname string, subjobname string, application string, "
                 "product string, loadtype string, prereccount long, postreccount long, rejreccount long, "
                 "restart_step string, error string")
@@ -38,18 +43,18 @@ def audit_row(spark: SparkSession, phase: str, job: JobInfo, pre: int | None = N
 
 
 def run_with_audit(spark: SparkSession, audit_path: str, job: JobInfo,
-                   load: Callable[[], tuple[DataFrame, DataFrame, Callable[[], None]]]) -> None:
-    """``load()`` returns ``(tagged, rejects, write)``: the tagged long rows,
-    the reject rows and the function that writes the result. Appends a start
-    row, runs the write, then appends an end row with counts, or a fail row
-    with the error text before re-raising."""
+                   load: Callable[[], tuple["LoadResult", Callable[[DataFrame], None]]]) -> None:
+    """``load()`` returns ``(result, write)``: a load result built with
+    ``observe=True`` and the function that writes its rows. Appends a start
+    row, runs the write, then appends an end row with the counts observed
+    during the write (no extra pass), or a fail row with the error text before
+    re-raising."""
     audit_row(spark, "start", job).write.mode("append").parquet(audit_path)
     try:
-        tagged, rejects, write = load()
-        write()
-        counts = tagged.selectExpr("count(1) AS pre", "count_if(reason IS NULL) AS ok").first()
-        rejected = rejects.count()
-        audit_row(spark, "end", job, counts["pre"], counts["ok"], rejected).write.mode("append").parquet(audit_path)
+        result, write = load()
+        write(result.rows)
+        c = result.counts()
+        audit_row(spark, "end", job, c["pre"], c["written"], c["rejected"]).write.mode("append").parquet(audit_path)
     except Exception as e:
         audit_row(spark, "fail", job, error=str(e)[:4000]).write.mode("append").parquet(audit_path)
         raise

@@ -22,8 +22,8 @@ def test_audit_phases(spark, tmpdir_path):
     job = JobInfo("kpi", "monthly", "web", "portal")
 
     def load():
-        res = load_files(spark, f"{tmpdir_path}/in", mm, su, td, "Month", "R")
-        return res.tagged, res.rejects(), lambda: append(res.rows, f"{tmpdir_path}/out")
+        res = load_files(spark, f"{tmpdir_path}/in", mm, su, td, "Month", "R", observe=True)
+        return res, lambda rows: append(rows, f"{tmpdir_path}/out")
     run_with_audit(spark, f"{tmpdir_path}/audit", job, load)
 
     def failing():
