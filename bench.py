@@ -24,7 +24,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = sys.argv[1:] or HEADLINE
     from tallyspark.session import get_spark, shared_dir
     from tallyspark.plans.queries import QUERIES
