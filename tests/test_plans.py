@@ -62,3 +62,14 @@ def test_carve_equals_row_model(spark):
     got = sorted((r.report_id, r.pos) for r in body.collect())
     want = sorted((rid, p) for rid, ls in reports.items() for p in _row_model(ls))
     assert got == want
+
+
+def test_lines_are_not_shuffled(spark, tmpdir_path):
+    """Pass 2 streams the text scan through broadcast joins only."""
+    write_reports(tmpdir_path, {f"r{i}.csv": month_report() for i in range(5)})
+    mm, su, td = dims(spark)
+    res = load_files(spark, tmpdir_path, mm, su, td, "Month", "R")
+    res.rows.write.format("noop").mode("overwrite").save()
+    plan = _plan(res.rows)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert plan.count("BroadcastHashJoin") >= 4      # split offsets, bounds, metric ids, calendar
