@@ -32,8 +32,8 @@ UNPIVOT_MONTH = f"""
 WITH o AS ({ORDERS_YMQ}),
 cnt AS (SELECT o_orderpriority, y, mo, count(*) AS n FROM o GROUP BY ALL),
 yrs AS (SELECT DISTINCT o_orderpriority, y FROM o),
-grid AS (SELECT yrs.*, k.kind, s.slot FROM yrs
-         CROSS JOIN (VALUES ('month_last'), ('month_this')) k(kind) CROSS JOIN range(1, 13) s(slot))
+grid AS (SELECT k.*, unnest(range(1, 13)) AS slot
+         FROM (SELECT yrs.*, unnest(['month_last', 'month_this']) AS kind FROM yrs) k)
 SELECT g.o_orderpriority, CAST(g.y AS INTEGER) AS report_year, g.kind,
        printf('%d%02d', CASE WHEN g.kind = 'month_last' THEN g.y - 1 ELSE g.y END, g.slot) AS timeid,
        coalesce(CAST(CAST(c.n AS DOUBLE) AS VARCHAR), 'nan') AS metric_value
@@ -45,7 +45,7 @@ UNPIVOT_QUARTER = f"""
 WITH o AS ({ORDERS_YMQ}),
 cnt AS (SELECT o_orderpriority, y, q, count(*) AS n FROM o GROUP BY ALL),
 yrs AS (SELECT DISTINCT o_orderpriority, y FROM o),
-grid AS (SELECT yrs.*, s.slot FROM yrs CROSS JOIN range(1, 9) s(slot))
+grid AS (SELECT yrs.*, unnest(range(1, 9)) AS slot FROM yrs)
 SELECT g.o_orderpriority, CAST(g.y AS INTEGER) AS report_year, 'quarter' AS kind,
        CASE WHEN g.slot <= 4 THEN printf('%d%d', g.y - 1, g.slot) ELSE printf('%d%d', g.y, g.slot - 4) END AS timeid,
        coalesce(CAST(CAST(c.n AS DOUBLE) AS VARCHAR), 'nan') AS metric_value
@@ -58,7 +58,7 @@ UNPIVOT_SUMMARY = f"""
 WITH o AS ({ORDERS_YMQ}),
 tot AS (SELECT o_orderpriority, y, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS v
         FROM o GROUP BY ALL),
-grid AS (SELECT tot.o_orderpriority, tot.y, s.slot FROM tot CROSS JOIN range(1, 3) s(slot))
+grid AS (SELECT tot.o_orderpriority, tot.y, unnest(range(1, 3)) AS slot FROM tot)
 SELECT g.o_orderpriority, CAST(g.y AS INTEGER) AS report_year, 'summary' AS kind,
        CAST(CASE WHEN g.slot = 1 THEN g.y ELSE g.y - 1 END AS VARCHAR) AS timeid,
        coalesce(CAST(t.v AS VARCHAR), 'nan') AS metric_value
@@ -157,8 +157,8 @@ WITH b AS (SELECT c_mktsegment, o_orderpriority, year(o_orderdate) AS y, month(o
            FROM orders JOIN customer ON o_custkey = c_custkey),
 cnt AS (SELECT c_mktsegment, o_orderpriority, y, mo, count(*) AS n FROM b GROUP BY ALL),
 yrs AS (SELECT DISTINCT c_mktsegment, o_orderpriority, y FROM b),
-grid AS (SELECT yrs.*, k.kind, s.slot FROM yrs
-         CROSS JOIN (VALUES ('month_last'), ('month_this')) k(kind) CROSS JOIN range(1, 13) s(slot)),
+grid AS (SELECT k.*, unnest(range(1, 13)) AS slot
+         FROM (SELECT yrs.*, unnest(['month_last', 'month_this']) AS kind FROM yrs) k),
 lng AS (SELECT g.c_mktsegment, g.o_orderpriority,
                printf('%d%02d', CASE WHEN g.kind = 'month_last' THEN g.y - 1 ELSE g.y END, g.slot) AS timeid,
                coalesce(CAST(CAST(c.n AS DOUBLE) AS VARCHAR), 'nan') AS metric_value
@@ -299,15 +299,14 @@ lines AS (SELECT c.c_custkey, c.ry, c.prio, c.st, c.seg, ok.rs_name, ok.rsid,
 
 def _report_rows(level: str) -> str:
     if level == "Month":
-        grid = """grid AS (SELECT l.*, k.kind, s.slot,
-                          CASE WHEN k.kind = 'month_last' THEN l.ry - 1 ELSE l.ry END AS yy
-                          FROM lines l CROSS JOIN (VALUES ('month_last'), ('month_this')) k(kind)
-                          CROSS JOIN range(1, 13) s(slot)),
+        grid = """grid0 AS (SELECT k.*, unnest(range(1, 13)) AS slot
+                           FROM (SELECT l.*, unnest(['month_last', 'month_this']) AS kind FROM lines l) k),
+        grid AS (SELECT g.*, CASE WHEN g.kind = 'month_last' THEN g.ry - 1 ELSE g.ry END AS yy FROM grid0 g),
         cnt AS (SELECT c_custkey, prio, st, y, mo AS per, count(*) AS n FROM bb GROUP BY ALL),
         per AS (SELECT g.*, printf('%d%02d', g.yy, g.slot) AS timeid, g.slot AS pp FROM grid g)"""
     else:
-        grid = """grid AS (SELECT l.*, s.slot, CASE WHEN s.slot <= 4 THEN l.ry - 1 ELSE l.ry END AS yy
-                          FROM lines l CROSS JOIN range(1, 9) s(slot)),
+        grid = """grid0 AS (SELECT l.*, unnest(range(1, 9)) AS slot FROM lines l),
+        grid AS (SELECT g.*, CASE WHEN g.slot <= 4 THEN g.ry - 1 ELSE g.ry END AS yy FROM grid0 g),
         cnt AS (SELECT c_custkey, prio, st, y, q AS per, count(*) AS n FROM bb GROUP BY ALL),
         per AS (SELECT g.*, printf('%d%d', g.yy, CASE WHEN g.slot <= 4 THEN g.slot ELSE g.slot - 4 END) AS timeid,
                        CASE WHEN g.slot <= 4 THEN g.slot ELSE g.slot - 4 END AS pp FROM grid g)"""
