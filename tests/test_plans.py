@@ -73,3 +73,49 @@ def test_lines_are_not_shuffled(spark, tmpdir_path):
     plan = _plan(res.rows)
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert plan.count("BroadcastHashJoin") >= 4      # split offsets, bounds, metric ids, calendar
+
+
+def _loop_model(col1, level):
+    """Row-by-row section carve: ordered header rules, last header of a kind
+    wins, body from header + offset to the first '####' at or after it."""
+    frames = {}
+    for ind, c in enumerate(col1):
+        cand = "#" in c and "Metrics" in c
+        if cand and "by" not in c:
+            kind, off = "summary", 2
+        elif cand and "month - this" in c and level == "Month":
+            kind, off = "month_this", 5
+        elif cand and "month - last" in c and level == "Month":
+            kind, off = "month_last", 5
+        elif cand and "quarter" in c and level == "Quarter":
+            kind, off = "quarter", 5
+        else:
+            continue
+        rows = []
+        for j in range(ind + off, len(col1)):
+            if "####" in col1[j]:
+                break
+            if "|" in col1[j]:
+                rows.append(j)
+        frames[kind] = rows
+    return frames
+
+
+def test_all_kinds_equal_loop_model(spark):
+    random.seed(5)
+    vocab = ["# Site Metrics", "# Site Metrics by month - this year", "# Site Metrics by month - last year",
+             "# Site Metrics by quarter", "# site Metrics by month - this year", "# Metrics by week",
+             "####", "[T|a|b|c|d|e],1", "[T|a|b|c|d|e],2", "h", "x|y,3", "Metrics # | by"]
+    weights = [2, 2, 2, 2, 1, 1, 4, 8, 8, 4, 2, 1]
+    reports = {f"r{n}": random.choices(vocab, weights, k=random.randint(0, 60)) for n in range(120)}
+    data = [(rid, i, l) for rid, ls in reports.items() for i, l in enumerate(ls)]
+    lines = spark.createDataFrame(data, "report_id string, raw_pos long, line string")
+    parsed = parse_lines(number_lines(lines))
+    for level in ("Month", "Quarter"):
+        marks = sections.markers(parsed, level)
+        starts = sections.section_starts(sections.report_heads(marks, level))
+        body = sections.carve(parsed, sections.section_bounds(marks, starts))
+        got = sorted((r.report_id, r.kind, r.pos) for r in body.collect())
+        want = sorted((rid, kind, p) for rid, ls in reports.items()
+                      for kind, ps in _loop_model([l.split(",")[0] for l in ls], level).items() for p in ps)
+        assert got == want, level
