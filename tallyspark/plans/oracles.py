@@ -1,4 +1,4 @@
-"""Reference SQL (DuckDB dialect) for the queries in ``plans.queries``.
+"""Expected-result SQL (DuckDB dialect) for the queries in ``plans.queries``.
 
 Each statement computes the expected result straight from the tables, by a
 route independent of the Spark plan (a period grid and outer joins instead of

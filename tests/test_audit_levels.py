@@ -19,7 +19,7 @@ def test_audit_phases(spark, tmpdir_path):
     os.makedirs(f"{tmpdir_path}/in")
     write_reports(f"{tmpdir_path}/in", {"a.csv": month_report(this_rows=["[T|r|w|s|V|T],12%," + "1," * 10 + "1"])})
     mm, su, td = dims(spark)
-    job = JobInfo("kpi", "monthly", "web", "portal")
+    job = JobInfo("metrics", "monthly", "web", "portal")
 
     def load():
         res = load_files(spark, f"{tmpdir_path}/in", mm, su, td, "Month", "R", observe=True)
