@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyspark.functions.periods import run_ts
 from tallyspark.plans.load import load_reports
 from tallyspark.sinks.tables import upsert
-from tallyspark.sources.reports import number_scanned_lines, parse_lines, scan_columns
+from tallyspark.sources.reports import read_reports_with_markers, scan_columns
 
 
 def start_report_stream(spark: SparkSession, source_dir: str, checkpoint_location: str, target_path: str,
@@ -28,8 +28,8 @@ def start_report_stream(spark: SparkSession, source_dir: str, checkpoint_locatio
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         ts = run_ts()
-        parsed = parse_lines(number_scanned_lines(batch))
-        result = load_reports(parsed, metric_map, suites, time_dim, level, ts)
+        parsed, candidates = read_reports_with_markers(spark, batch)
+        result = load_reports(parsed, metric_map, suites, time_dim, level, ts, candidates=candidates)
         upsert(spark, result.rows, target_path, ts)
 
     writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_location)
