@@ -95,3 +95,18 @@ def test_pipe_split(spark):
     assert got[2].s.n_parts == 5
     over = rows.select(split_label_pipe(F.col("l"), "Filtered", lob_override="seg x").alias("s")).collect()
     assert {r.s.lob for r in over} == {"SEG X"}
+
+
+def test_random_labels_match_python(spark):
+    random.seed(21)
+    alphabet = ["[", "]", "|", "|", "a", "B", " ", "\t", " ", "x"]
+    labels = ["".join(random.choice(alphabet) for _ in range(random.randint(0, 24))) for _ in range(600)]
+    for lf in ("no filter", "Seg"):
+        df = spark.createDataFrame([(l,) for l in labels], "l string").select(
+            "l", split_label(F.col("l"), lf).alias("s"))
+        for r in df.collect():
+            assert r.s.n_parts == len(re.split(r"[\[\|\]]", r.l)), r.l
+            want = py_split(r.l, lf)
+            if want is not None:
+                got = (r.s.channel, r.s.lob, r.s.product, r.s.category_type, r.s.category, r.s.metric_name)
+                assert got == want, r.l
