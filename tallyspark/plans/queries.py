@@ -258,7 +258,8 @@ def section_carve(spark, d):
     ev = _event_lines(spark, d)
     lines = number_lines(ev, order_cols=["ts", "event_id"],
                          chunk_col=F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000)))
-    parsed = parse_lines(lines)
+    # read three times below (headers, separators, metric rows): store once
+    parsed = stage(parse_lines(lines), "event-lines")
     heads = sections.report_heads(parsed, LEVEL_MONTH)
     starts = sections.section_starts(heads).where(F.col("kind") == "summary")
     body = sections.carve(parsed, sections.section_bounds(parsed, starts))
