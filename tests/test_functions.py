@@ -110,3 +110,14 @@ def test_random_labels_match_python(spark):
             if want is not None:
                 got = (r.s.channel, r.s.lob, r.s.product, r.s.category_type, r.s.category, r.s.metric_name)
                 assert got == want, r.l
+
+
+def test_run_ts_and_preview(spark):
+    from datetime import datetime, timezone
+
+    from tallyspark.functions.periods import run_ts
+    from tallyspark.operators.layout import preview
+    # 2024-07-01 17:30 UTC is 12:30 in Chicago (daylight time)
+    assert run_ts(datetime(2024, 7, 1, 17, 30, 5, tzinfo=timezone.utc)) == "2024-07-01 12:30:05"
+    assert re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", run_ts())
+    assert preview(spark.range(100), 10).count() == 10
