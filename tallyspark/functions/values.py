@@ -56,36 +56,28 @@ def format_value(v: Column) -> Column:
     """Python ``str(float)`` text of a double.
 
     Java prints scientific notation below 1e-3 and from 1e7; Python does so
-    below 1e-4 and from 1e16, with a two-digit signed exponent. The digits are
-    taken from Java's shortest representation and re-laid out Python's way.
-    Java 17 is not always shortest (e.g. 2e23); such values keep Java's digits.
+    below 1e-4 and from 1e16, with a signed, at least two-digit exponent.
+    Between those bounds the value goes through a decimal (built from Java's
+    shortest digits) and loses its trailing zeros; beyond them Java's exponent
+    form is rewritten. Kept compact on purpose: the generated code stays small
+    enough to be compiled. Java 17 is not always shortest (e.g. 2e23,
+    denormals); such values keep Java's digits.
     """
     s = v.cast("string")
-    sci = s.rlike(r"^-?[0-9](\.[0-9]+)?E-?[0-9]+$")
-    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    lead = F.regexp_extract(s, r"^-?([0-9])", 1)
-    frac = F.regexp_replace(F.regexp_extract(s, r"\.([0-9]+)E", 1), "0+$", "")
-    d = F.concat(lead, frac)
-    e = F.regexp_extract(s, r"E(-?[0-9]+)$", 1).cast("int")
-    # plain layout, exponent 0..15: pad the digits to the integer width
-    int_part = F.substring(F.rpad(d, e + 1, F.lit("0")), F.lit(1), e + 1)
-    frac_part = F.substring(d, e + 2, F.lit(10_000))
-    plain_pos = F.concat(int_part, F.lit("."),
-                         F.when(F.length(frac_part) > 0, frac_part).otherwise(F.lit("0")))
-    # plain layout, exponent -4..-1
-    plain_neg = F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), d)
-    # scientific layout: d.ddd e+XX, no ".0" for a single digit
-    mant = F.when(F.length(d) > 1,
-                  F.concat(lead, F.lit("."), F.substring(d, F.lit(2), F.lit(10_000)))).otherwise(lead)
-    exp_abs = F.abs(e).cast("string")
-    exp_txt = F.concat(F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
-                       F.when(F.length(exp_abs) < 2, F.concat(F.lit("0"), exp_abs)).otherwise(exp_abs))
-    laid = (F.when((e >= 0) & (e < 16), plain_pos)
-            .when((e < 0) & (e >= -4), plain_neg)
-            .otherwise(F.concat(mant, F.lit("e"), exp_txt)))
+    mag = F.abs(v)
+
+    def via_decimal(scale: int) -> Column:
+        txt = F.regexp_replace(v.cast(f"decimal(38,{scale})").cast("string"), "0+$", "")
+        return F.regexp_replace(txt, r"\.$", ".0")
+
+    py_sci = F.regexp_replace(s, r"E(-?)([0-9])$", "E$10$2")        # two-digit exponent
+    py_sci = F.regexp_replace(py_sci, r"E([0-9])", "e+$1")            # explicit plus sign
+    py_sci = F.regexp_replace(F.regexp_replace(py_sci, "E-", "e-"), r"\.0e", "e")
     return (F.when(v.isNull(), F.lit(None).cast("string"))
             .when(F.isnan(v), F.lit("nan"))
             .when(v == float("inf"), F.lit("inf"))
             .when(v == float("-inf"), F.lit("-inf"))
-            .when(sci, F.concat(sign, laid))
+            .when((mag >= F.lit(1e7)) & (mag < F.lit(1e16)), via_decimal(18))
+            .when((mag >= F.lit(1e-4)) & (mag < F.lit(1e-3)), via_decimal(25))
+            .when((mag >= F.lit(1e16)) | ((mag < F.lit(1e-4)) & (mag > F.lit(0.0))), py_sci)
             .otherwise(s))
