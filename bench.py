@@ -1,7 +1,7 @@
 """Benchmark: headline queries on ``$BENCH_SF_DIR`` (default sf0.1) on
 ``local[$BENCH_CPUS]``; each query is planned and written to the ``noop``
-sink, one warm-up then the median of ``$BENCH_RUNS`` runs. Prints one JSON
-line."""
+sink, ``$BENCH_WARMUP`` warm-up runs then the median of ``$BENCH_RUNS`` runs.
+Prints one JSON line."""
 
 from __future__ import annotations
 
@@ -25,6 +25,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
+    # the JVM compiles the generated code over the first runs of a query
+    warmup = int(os.environ.get("BENCH_WARMUP", "2"))
     names = sys.argv[1:] or HEADLINE
     from tallyspark.session import get_spark, shared_dir
     from tallyspark.plans.queries import QUERIES
@@ -35,10 +37,10 @@ def main() -> None:
     for name in names:
         fn = QUERIES[name]
         times = []
-        for i in range(runs + 1):
+        for i in range(warmup + runs):
             t = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # first run warms up
+            if i >= warmup:
                 times.append(time.perf_counter() - t)
         per_query[name] = round(statistics.median(times), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -51,6 +53,7 @@ def main() -> None:
         "cpus": cpus,
         "shuffle_partitions": cpus * 2,
         "runs": runs,
+        "warmup_runs": warmup,
         "sink": "noop",
     }))
     spark.stop()
