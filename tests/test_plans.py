@@ -73,6 +73,7 @@ def test_lines_are_not_shuffled(spark, tmpdir_path):
     plan = _plan(res.rows)
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert plan.count("BroadcastHashJoin") >= 4      # split offsets, bounds, metric ids, calendar
+    assert plan.count("FileScan text") == 1          # pass 2 reads the text once; pass 1 is stored
 
 
 def _loop_model(col1, level):
