@@ -339,6 +339,34 @@ SELECT 'report:suite_unknown' AS outcome, count(*) AS n FROM rep
 WHERE rep.n_nationkey NOT IN (SELECT n_nationkey FROM nr) HAVING count(*) > 0
 """
 
+# The this-year month table of each report, computed from the orders: one
+# row per (customer, priority, status) of the last two order years; months
+# without orders are empty cells (NULL).
+SECTION_WIDE_MONTH = """
+WITH b AS (SELECT c_custkey, c_mktsegment, o_orderpriority AS prio, o_orderstatus AS st,
+                  year(o_orderdate) AS y, month(o_orderdate) AS mo
+           FROM orders JOIN customer ON o_custkey = c_custkey),
+ry AS (SELECT c_custkey, max(y) AS ry FROM b GROUP BY 1),
+bb AS (SELECT b.*, ry.ry FROM b JOIN ry USING (c_custkey) WHERE b.y >= ry.ry - 1)
+SELECT bb.c_custkey AS report_id,
+       '[T|' || lower(bb.c_mktsegment) || '|web|' || bb.prio || '|Orders|'
+         || CASE bb.st WHEN 'F' THEN 'Filled' WHEN 'O' THEN 'Open' ELSE '' END || ']' AS metrix,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 1), 0) AS VARCHAR) AS all_visits_this_year_january,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 2), 0) AS VARCHAR) AS all_visits_this_year_february,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 3), 0) AS VARCHAR) AS all_visits_this_year_march,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 4), 0) AS VARCHAR) AS all_visits_this_year_april,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 5), 0) AS VARCHAR) AS all_visits_this_year_may,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 6), 0) AS VARCHAR) AS all_visits_this_year_june,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 7), 0) AS VARCHAR) AS all_visits_this_year_july,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 8), 0) AS VARCHAR) AS all_visits_this_year_august,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 9), 0) AS VARCHAR) AS all_visits_this_year_september,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 10), 0) AS VARCHAR) AS all_visits_this_year_october,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 11), 0) AS VARCHAR) AS all_visits_this_year_november,
+       CAST(NULLIF(count(*) FILTER (WHERE bb.y = bb.ry AND bb.mo = 12), 0) AS VARCHAR) AS all_visits_this_year_december
+FROM bb GROUP BY bb.c_custkey, bb.c_mktsegment, bb.prio, bb.st
+"""
+
+
 ORACLES = {
     "unpivot_month": UNPIVOT_MONTH,
     "unpivot_quarter": UNPIVOT_QUARTER,
@@ -361,6 +389,7 @@ ORACLES = {
     "report_load": _report_load("Month"),
     "report_load_quarter": _report_load("Quarter"),
     "report_load_files": _report_load("Month"),
+    "section_wide_month": SECTION_WIDE_MONTH,
     "load_audit": LOAD_AUDIT,
     "write_append": f"SELECT * FROM ({FINAL_LAYOUT}) UNION ALL SELECT * FROM ({FINAL_LAYOUT})",
     "write_overwrite": FINAL_LAYOUT,

@@ -470,6 +470,17 @@ def report_parsed(spark, d) -> DataFrame:
     return stage(parse_lines(number_lines(lines)), "report-parsed")
 
 
+def section_wide_month(spark, d):
+    """The this-year month table of every rendered report, as its wide
+    columns (``metrix`` + twelve months), straight from the carve."""
+    parsed = report_parsed(spark, d)
+    marks = sections.markers(parsed, LEVEL_MONTH)
+    starts = sections.section_starts(sections.report_heads(marks, LEVEL_MONTH))
+    body = sections.carve(parsed, sections.section_bounds(marks, starts))
+    wide = sections.project_section(body, "month_this")
+    return wide.withColumn("report_id", F.col("report_id").cast("bigint")).drop("pos")
+
+
 def _report_load(spark, d, level):
     parsed = report_parsed(spark, d)
     metric_map, suites, cal = report_dims(spark, d)
@@ -588,6 +599,7 @@ QUERIES = {
     "report_load": report_load,
     "report_load_quarter": report_load_quarter,
     "report_load_files": report_load_files,
+    "section_wide_month": section_wide_month,
     "load_audit": load_audit,
     "write_append": write_append,
     "write_overwrite": write_overwrite,

@@ -10,6 +10,7 @@ def test_contract(spark):
     qs, sqls = entry.queries(), entry.oracle_sql()
     assert set(sqls) <= set(qs)
     assert set(qs) - set(sqls) == {"publish_comments", "add_columns"}
+    assert len(qs) == 28
     df = entry.entry(spark)
     assert df.columns == FINAL_COLS
     assert df.count() > 0
