@@ -120,3 +120,18 @@ def test_all_kinds_equal_loop_model(spark):
         want = sorted((rid, kind, p) for rid, ls in reports.items()
                       for kind, ps in _loop_model([l.split(",")[0] for l in ls], level).items() for p in ps)
         assert got == want, level
+
+
+def test_number_lines_matches_python_model(spark):
+    random.seed(9)
+    kinds = ["a,b", "", "   ", "\t", "x" + ",1" * 13, "y" + ",1" * 12 + ",", "z" + ",1" * 12, '"q,1",2']
+    reports = {f"r{n}": [random.choice(kinds) for _ in range(random.randint(0, 50))] for n in range(40)}
+    data = [(rid, i * 3, l) for rid, ls in reports.items() for i, l in enumerate(ls)]   # gaps in raw_pos
+    lines = spark.createDataFrame(data, "report_id string, raw_pos long, line string")
+
+    def keep(l):
+        return l.strip(" \t") != "" and l.replace('"q,1"', "q").count(",") <= 12
+    want = sorted((rid, p, l) for rid, ls in reports.items() for p, l in enumerate([x for x in ls if keep(x)]))
+    for chunk in (5, 1 << 20):
+        got = sorted((r.report_id, r.pos, r.line) for r in number_lines(lines, chunk=chunk).collect())
+        assert got == want, chunk
