@@ -31,3 +31,12 @@ def test_comment_table_first_per_column(spark, tmpdir_path):
         f.write("column,metadata\nlob,\"line of business, it's\"\nlob,later\ntimeid,period\n")
     got = {r.column: r.comment for r in first_comments(read_dim(spark, tmpdir_path, "csv")).collect()}
     assert got == {"lob": "line of business, it's", "timeid": "period"}
+
+
+def test_parquet_dimension_is_text_with_order(spark, tmpdir_path):
+    spark.createDataFrame([(7, "Suite A"), (8, "Suite A"), (9, "Suite B")], "rsid long, name string") \
+        .coalesce(1).write.parquet(f"{tmpdir_path}/s")
+    s = read_dim(spark, f"{tmpdir_path}/s", "parquet")
+    assert dict(s.dtypes)["rsid"] == "string"
+    got = {r.suite_name: r.rsid for r in lookups.suite_ids(s).collect()}
+    assert got == {"Suite A": "7", "Suite B": "9"}
