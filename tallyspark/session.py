@@ -65,8 +65,26 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     Cuts the lineage (later stages read the files, not the plan that made
     them), survives the loss of any executor, and is columnar, so later
     passes prune columns. Used where a derived frame is read more than once.
+    ``unstage`` deletes the table once nothing reads it any more.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Delete the tables behind staged frames that no later job reads."""
+    for df in frames:
+        path = getattr(df, "_stage_path", None)
+        if path:
+            delete_path(df.sparkSession, path)
+            df._stage_path = None
