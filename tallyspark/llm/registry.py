@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, simhash
+from tallyspark.llm import exact_dedup, simhash, source_mix
 
 QUERIES = {
+    "op2_source_mix": source_mix.op2_source_mix,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
 }
 
 ORACLES = {
+    "op2_source_mix": source_mix.ORACLE,
     "op5_exact_dedup": exact_dedup.ORACLE,
 }
