@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, simhash, source_mix
+from tallyspark.llm import exact_dedup, language_id, simhash, source_mix, toxicity, url_filter
 
 QUERIES = {
     "op2_source_mix": source_mix.op2_source_mix,
+    "op3_url_filter": url_filter.op3_url_filter,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_toxicity": toxicity.op6_toxicity,
+    "op8_language_id": language_id.op8_language_id,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
 }
 
