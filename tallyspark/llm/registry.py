@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import exact_dedup, language_id, simhash, source_mix, toxicity, url_filter
+from tallyspark.llm import (bpe, exact_dedup, language_id, simhash, source_mix, token_counts, toxicity,
+                            url_filter)
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
     "op2_source_mix": source_mix.op2_source_mix,
     "op3_url_filter": url_filter.op3_url_filter,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_language_id": language_id.op8_language_id,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
 }
