@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tallyspark.llm import (bpe, exact_dedup, language_id, simhash, source_mix, token_counts, toxicity,
-                            url_filter)
+from tallyspark.llm import (bpe, exact_dedup, language_id, simhash, source_mix, substring_dedup, token_counts,
+                            toxicity, url_filter)
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_language_id": language_id.op8_language_id,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
+    "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 
 ORACLES = {
