@@ -299,13 +299,15 @@ def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY, pattern:
                        [("doc_id", pa.int64()), ("text", pa.string())])
 
 
-def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN,
+               with_ids: bool = False) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_tokens, ids_sha256, decoded_sha256,
-    round_trip`` (the streamed text equals the input)."""
+    round_trip`` (the streamed text equals the input) and, if asked for,
+    ``ids array<int>``."""
     def run(ids, texts):
         tok = tokenizer(vocabulary_path(vocabulary), pattern)
         text_of = {i: str(i) for i in tok.transducer.bytes_of}
-        n, a, b, same = [], [], [], []
+        n, a, b, same, every = [], [], [], [], []
         for t in texts:
             text = (t or b"").decode("utf-8", "replace")
             found = tok.encode(text)
@@ -318,13 +320,17 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = pub
             out.append(stream.end())
             b.append(digest.hexdigest())
             same.append("".join(out) == text)
-        return [ids, n, a, b, same]
+            if with_ids:
+                every.append(pa.array(found, pa.int32()))
+        return [ids, n, a, b, same, *([every] if with_ids else [])]
 
     return map_batches(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean",
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean"
+        + (", ids array<int>" if with_ids else ""),
         [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
-         ("decoded_sha256", pa.string()), ("round_trip", pa.bool_())])
+         ("decoded_sha256", pa.string()), ("round_trip", pa.bool_()),
+         *([("ids", pa.list_(pa.int32()))] if with_ids else [])])
 
 
 def op7_byte_bpe(spark, sf_dir: str) -> DataFrame:

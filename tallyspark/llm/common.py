@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,3 +44,30 @@ def map_batches(df: DataFrame, fn: Callable[..., list], schema: str, arrow_types
                 schema=out_schema)
 
     return df.mapInArrow(run, schema)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows sorted by their first ``keys`` (integer) columns, regrouped so that
+    no group is cut: ``(rows, index of every group's first row)``."""
+    open_rows: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
+        if open_rows and any(open_rows[-1].column(i)[-1].as_py() != c[0] for i, c in enumerate(cols)):
+            new = np.concatenate(([0], new))
+        if not len(new):
+            open_rows.append(batch)
+            continue
+        yield from _grouped([*open_rows, batch.slice(0, new[-1])], keys)
+        open_rows = [batch.slice(new[-1])]
+    yield from _grouped(open_rows, keys)
+
+
+def _grouped(parts: list[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    parts = [p for p in parts if p.num_rows]
+    if parts:
+        rows = pa.concat_batches(parts) if len(parts) > 1 else parts[0]
+        cols = [rows.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        yield rows, np.concatenate(([0], np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1))
