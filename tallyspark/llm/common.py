@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # ASCII white space, the separators of ``[^\x20\x09-\x0D]+`` words. Fixed values.
 WHITE_SPACE = " \t\n\x0b\f\r"
+ROWS = 512          # rows handed to a batch function at a time
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -26,13 +27,12 @@ def word_count(text) -> F.Column:
 def map_batches(df: DataFrame, fn: Callable[..., list], schema: str, arrow_types: list[tuple[str, pa.DataType]]) -> DataFrame:
     """``mapInArrow`` with plain Python lists: ``fn`` gets one list per column
     of ``df`` (strings as bytes) and returns one list or array per output
-    column. Memory is bounded by one Arrow batch."""
+    column, for at most ``ROWS`` rows at a time: that and the Arrow batch they
+    come from bound the memory."""
     out_schema = pa.schema(arrow_types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             cols = []
             for col in batch.columns:
                 if pa.types.is_string(col.type) or pa.types.is_large_string(col.type):

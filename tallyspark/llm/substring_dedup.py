@@ -48,7 +48,7 @@ from tallyspark.llm.pretokens import Memo
 from tallyspark.session import stage, unstage
 
 LENGTH = 35
-MEMO = 300_000
+MEMO = 150_000  # word hashes kept per worker
 # Odd multipliers of the two rolling hashes and of the final mixing.
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -164,15 +164,17 @@ def repeated_windows(keyed: DataFrame, length: int) -> DataFrame:
 
     def windows(ids, keys, texts, lists):
         _words.trim()
-        cols = [[], [], [], [], [], []]
-        for d, k, z, found in zip(ids, keys, texts, lists):
+        cols, n = [], []
+        for z, found in zip(texts, lists):
             w = word_hashes(_unpack(z))
             hashes = [rolling(w, length, BASES[0]), rolling(mixed(w), length, BASES[1])]
-            at = np.concatenate([np.arange(r["i1"], r["i2"] + 1) for r in found])
+            at = np.concatenate([np.arange(r["i1"], r["i2"] + 1, dtype=np.int32) for r in found])
             single = np.repeat([r["single"] for r in found], [r["i2"] - r["i1"] + 1 for r in found])
-            for col, v in zip(cols, ([d] * len(at), [k] * len(at), at, single, *[_signed(h[at]) for h in hashes])):
-                col.append(v)
-        return [sum(cols[0], []), sum(cols[1], []), *[np.concatenate(c) for c in cols[2:]]]
+            cols.append((at, single, *[_signed(h[at]) for h in hashes]))
+            n.append(len(at))
+        pick = pa.array(np.repeat(np.arange(len(texts)), n))
+        return [pa.array(ids, pa.int64()).take(pick), pa.array(keys, pa.int32()).take(pick),
+                *[np.concatenate(c) for c in zip(*cols)]]
 
     listed = stage(map_batches(
         _join_docs(keyed, compare, "inner"), windows, "id long, key int, i int, single boolean, h1 long, h2 long",
