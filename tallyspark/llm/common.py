@@ -32,7 +32,8 @@ def map_batches(df: DataFrame, fn: Callable[..., list], schema: str, arrow_types
     out_schema = pa.schema(arrow_types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+        for batch, last in ((b.slice(i, ROWS), i + ROWS >= b.num_rows) for b in batches
+                            for i in range(0, b.num_rows, ROWS)):
             cols = []
             for col in batch.columns:
                 if pa.types.is_string(col.type) or pa.types.is_large_string(col.type):
@@ -42,6 +43,8 @@ def map_batches(df: DataFrame, fn: Callable[..., list], schema: str, arrow_types
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, type=f.type, from_pandas=False) for v, f in zip(out, out_schema, strict=True)],
                 schema=out_schema)
+            if last:
+                pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

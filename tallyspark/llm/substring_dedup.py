@@ -48,7 +48,7 @@ from tallyspark.llm.pretokens import Memo
 from tallyspark.session import stage, unstage
 
 LENGTH = 35
-MEMO = 150_000  # word hashes kept per worker
+MEMO = 100_000  # word hashes kept per worker
 # Odd multipliers of the two rolling hashes and of the final mixing.
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
