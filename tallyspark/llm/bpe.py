@@ -40,7 +40,7 @@ from tallyspark.llm.pretokens import Memo, Splitter, cut
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_STATES = 300_000    # sets of states kept before starting anew
-MAX_PIECES = 600_000    # cut pieces whose ids are kept before starting anew
+MAX_PIECES = 300_000    # cut pieces whose ids are kept before starting anew
 CHUNK = 1 << 14         # tokens decoded at a time
 
 

@@ -49,6 +49,20 @@ def map_batches(df: DataFrame, fn: Callable[..., list], schema: str, arrow_types
     return df.mapInArrow(run, schema)
 
 
+def filter_batches(df: DataFrame, column: str, keep: Callable[[bytes | None], bool]) -> DataFrame:
+    """The rows of ``df`` whose text ``column`` passes ``keep`` (as bytes)."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
+                texts = part.column(at).cast(pa.large_binary()).to_pylist()
+                yield part.filter(pa.array([keep(t) for t in texts], pa.bool_()))
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, df.schema)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Rows sorted by their first ``keys`` (integer) columns, regrouped so that
     no group is cut: ``(rows, index of every group's first row)``."""

@@ -88,7 +88,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                           F.col("keep_id").alias("__keep_id"), F.col("keep_len").alias("__keep_len"))
     tagged = docs.withColumns({"__h": md5_128(norm), "__sha": F.unhex(F.sha2(norm, 256)),
                                "__len": F.length(F.coalesce(F.col(text_col), F.lit("")))})
-    out = tagged.join(stays, ["__h", "__sha"], "left")
+    # a hash join on the narrow side, so the texts are not sorted
+    out = tagged.join(stays.hint("shuffle_hash"), ["__h", "__sha"], "left")
     single = out.where(F.col("__keep_len").isNull())
     first = out.where(F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col("__len") == F.col("__keep_len")))
     return single.select(*docs.columns).unionByName(

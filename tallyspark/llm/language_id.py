@@ -27,13 +27,12 @@ from __future__ import annotations
 from itertools import product
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import map_batches, table
+from tallyspark.llm.common import filter_batches, map_batches, table
 from tallyspark.llm.linear import fit_dense, sigmoid
 
 WIDTH = 4096
@@ -123,31 +122,34 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     return Model(langs, x[order], y[order])
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``__lang struct(lang_pred, score, ambiguous)``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
-    def judge(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(t) for t in text], columns=["lang_pred", "score", "ambiguous"])
-
-    return docs.withColumn("__lang", judge(F.col("text").cast("string")))
-
-
 def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``doc_id, held_out, lang_pred, score, ambiguous`` per row of ``docs``."""
-    out = predict(docs.select("doc_id", "text"), fit(docs, train_rows))
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "__lang.*")
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, train_rows))
+
+    def run(ids, out, texts):
+        found = [model.value.predict(None if t is None else t.decode("utf-8", "replace")) for t in texts]
+        return [ids, out, *map(list, zip(*found))]
+
+    rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string"))
+    return map_batches(
+        rows, run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean",
+        [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()),
+         ("ambiguous", pa.bool_())])
 
 
 def known_language(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` (all its columns) without those rejected: ``und`` or
     ambiguous. When nothing could be learned, only texts without a letter go."""
-    model = fit(docs, train_rows)
-    if not model.langs:
+    fitted = fit(docs, train_rows)
+    if not fitted.langs:
         return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
-    out = predict(docs, model)
-    return out.where((F.col("__lang.lang_pred") != UNKNOWN) & ~F.col("__lang.ambiguous")).select(*docs.columns)
+    model = docs.sparkSession.sparkContext.broadcast(fitted)
+
+    def keep(text):
+        lang, _, ambiguous = model.value.predict(None if text is None else text.decode("utf-8", "replace"))
+        return lang != UNKNOWN and not ambiguous
+
+    return filter_batches(docs, "text", keep)
 
 
 def op8_language_id(spark, sf_dir: str) -> DataFrame:

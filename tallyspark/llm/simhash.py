@@ -220,7 +220,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     comp = simhash_components(docs, id_col, text_col, shingle, max_bits)
     gone = comp.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__gone"))
     gone = stage(gone.distinct(), "simhash-gone")
-    left = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    # a hash join on the narrow side, so the texts are not sorted
+    left = docs.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
     again = stage(comp.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("__again"))
                   .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__again"), "simhash-again")
     if again.isEmpty():
