@@ -39,8 +39,8 @@ from tallyspark.llm.common import map_batches, table
 from tallyspark.llm.pretokens import Memo, Splitter, cut
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MAX_STATES = 300_000    # sets of states kept before starting anew
-MAX_PIECES = 300_000    # cut pieces whose ids are kept before starting anew
+MAX_STATES = 250_000    # sets of states kept before starting anew
+MAX_PIECES = 150_000    # cut pieces whose ids are kept before starting anew
 CHUNK = 1 << 14         # tokens decoded at a time
 
 
@@ -99,6 +99,12 @@ class Transducer:
         self.steps: dict[int, tuple[int, tuple]] = {}
         self.finals: dict[int, tuple] = {}
 
+    def trim(self) -> None:
+        if len(self.sets) > MAX_STATES:
+            self._reset()
+        if len(self.pairs) > MAX_STATES:
+            self.pairs.clear()
+
     def _spines(self, token: int) -> tuple:
         """``(left, right)``: the parts of a token that touch its left and its
         right end while it is merged, from the single byte to the token, each
@@ -190,8 +196,6 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        if len(self.sets) > MAX_STATES:
-            self._reset()
         state, get, out = 0, self.steps.get, []
         for byte in piece:
             step = get(state << 8 | byte)
@@ -210,6 +214,7 @@ class Tokenizer:
 
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(read_ranks(path))
+        self.digits = {i: str(i) for i in self.transducer.bytes_of}
         self.split = Splitter(pattern)
         self.first = Memo(self._ids, "", MAX_PIECES // 16)
         self.later = Memo(self._ids, " ", MAX_PIECES // 2)
@@ -226,6 +231,7 @@ class Tokenizer:
         self.first.trim()
         self.later.trim()
         self.words.trim()
+        self.transducer.trim()
         pieces = cut(text)
         ids = list(self.first[pieces[0]])
         ids.extend(chain.from_iterable(map(self.later.__getitem__, pieces[1:])))
@@ -306,13 +312,12 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = pub
     ``ids array<int>``."""
     def run(ids, texts):
         tok = tokenizer(vocabulary_path(vocabulary), pattern)
-        text_of = {i: str(i) for i in tok.transducer.bytes_of}
         n, a, b, same, every = [], [], [], [], []
         for t in texts:
             text = (t or b"").decode("utf-8", "replace")
             found = tok.encode(text)
             n.append(len(found))
-            a.append(hashlib.sha256(",".join(map(text_of.__getitem__, found)).encode()).hexdigest())
+            a.append(hashlib.sha256(",".join(map(tok.digits.__getitem__, found)).encode()).hexdigest())
             digest, stream, out = hashlib.sha256(), Utf8Stream(), []
             for data in tok.decode_bytes(found):
                 digest.update(data)
