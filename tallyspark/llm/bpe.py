@@ -39,7 +39,8 @@ from tallyspark.llm.common import map_batches, table
 from tallyspark.llm.pretokens import Memo, Splitter, cut
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MAX_STATES = 250_000    # sets of states kept before starting anew
+MAX_STATES = 300_000    # sets of states kept before starting anew
+MAX_PAIRS = 600_000     # tested pairs of tokens kept before starting anew
 MAX_PIECES = 150_000    # cut pieces whose ids are kept before starting anew
 CHUNK = 1 << 14         # tokens decoded at a time
 
@@ -102,7 +103,7 @@ class Transducer:
     def trim(self) -> None:
         if len(self.sets) > MAX_STATES:
             self._reset()
-        if len(self.pairs) > MAX_STATES:
+        if len(self.pairs) > MAX_PAIRS:
             self.pairs.clear()
 
     def _spines(self, token: int) -> tuple:
