@@ -52,9 +52,11 @@ def run_with_audit(spark: SparkSession, audit_path: str, job: JobInfo,
     audit_row(spark, "start", job).write.mode("append").parquet(audit_path)
     try:
         result, write = load()
+        if not result.observed:
+            raise ValueError("the load must be built with observe=True, or its counts are unknown")
         write(result.rows)
         c = result.counts()
         audit_row(spark, "end", job, c["pre"], c["written"], c["rejected"]).write.mode("append").parquet(audit_path)
     except Exception as e:
-        audit_row(spark, "fail", job, error=str(e)[:4000]).write.mode("append").parquet(audit_path)
+        audit_row(spark, "fail", job, error=str(e)).write.mode("append").parquet(audit_path)
         raise
