@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "report_load", "report_load_quarter", "unpivot_month", "unpivot_quarter", "label_split",
+    "report_load", "report_load_files", "report_load_quarter", "unpivot_month", "unpivot_quarter", "label_split",
     "metric_lookup", "time_join", "final_layout", "section_carve", "preamble", "value_parse",
     "upsert", "merge_key_dups",
 ]
@@ -24,9 +24,9 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "5"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     # the JVM compiles the generated code over the first runs of a query
-    warmup = int(os.environ.get("BENCH_WARMUP", "2"))
+    warmup = int(os.environ.get("BENCH_WARMUP", "1"))
     names = sys.argv[1:] or HEADLINE
     from tallyspark.session import get_spark, shared_dir
     from tallyspark.plans.queries import QUERIES

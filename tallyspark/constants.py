@@ -49,7 +49,6 @@ DEFAULT_CATEGORY = "Stand Alone"
 ALL_LOB = "ALL LoB"
 NO_FILTER = "no filter"
 DEFAULT_METRIC_ID = "0"
-METRIC_SOURCE = "adobe"
 
 # --- fixed values: value tokens read as missing -------------------------------
 # The default missing-value strings of the pandas CSV reader.

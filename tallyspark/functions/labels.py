@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyspark.constants import (
-    ALL_LOB, CATEGORY_TYPE, DEFAULT_CATEGORY, LABEL_SPLIT_PATTERN, METRIC_SOURCE, NO_FILTER,
+    ALL_LOB, CATEGORY_TYPE, DEFAULT_CATEGORY, LABEL_SPLIT_PATTERN, NO_FILTER,
     PIPE_SPLIT_PATTERN,
 )
 from tallyspark.functions.text import part, pystrip
@@ -44,12 +44,10 @@ def split_label(label: Column, lob_filter: Column | str = NO_FILTER) -> Column:
 
 def split_label_pipe(label: Column, lob_filter: Column | str = NO_FILTER,
                      lob_override: Column | str | None = None,
-                     source: str = METRIC_SOURCE) -> Column:
+                     category_type: str = CATEGORY_TYPE) -> Column:
     """Pipe-style label. ``lob_override`` (a segment filter value) wins when
     given; else 'no filter' or an empty lob part give 'ALL LoB'. The category
     part must exist: ``n_parts < 6`` marks a label to reject."""
-    if source.lower() != METRIC_SOURCE:
-        raise ValueError(f"category type is defined for source {METRIC_SOURCE!r} only")
     lob_filter = F.lit(lob_filter) if isinstance(lob_filter, str) else lob_filter
     a = F.split(label, PIPE_SPLIT_PATTERN, -1)
     cat_raw = part(a, 5)
@@ -64,7 +62,7 @@ def split_label_pipe(label: Column, lob_filter: Column | str = NO_FILTER,
         pystrip(part(a, 2)).alias("channel"),
         lob.alias("lob"),
         pystrip(part(a, 3)).alias("product"),
-        F.lit(CATEGORY_TYPE).alias("category_type"),
+        F.lit(category_type).alias("category_type"),
         category.alias("category"),
         pystrip(part(a, 4)).alias("metric_name"),
         F.size(a).alias("n_parts"),

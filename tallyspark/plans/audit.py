@@ -21,7 +21,7 @@ if TYPE_CHECKING:
 
 AUDIT_SCHEMA = ("phase string, ts string, jobname string, subjobname string, application string, "
                 "product string, loadtype string, prereccount long, postreccount long, rejreccount long, "
-                "restart_step string, error string")
+                "restart_step string, error string, rejreportcount long")
 
 
 @dataclass(frozen=True)
@@ -35,10 +35,11 @@ class JobInfo:
 
 
 def audit_row(spark: SparkSession, phase: str, job: JobInfo, pre: int | None = None, post: int | None = None,
-              rejected: int | None = None, error: str | None = None) -> DataFrame:
+              rejected: int | None = None, error: str | None = None,
+              rejected_reports: int | None = None) -> DataFrame:
     j = asdict(job)
     row = (phase, now_ts(), j["jobname"], j["subjobname"], j["application"], j["product"], j["loadtype"],
-           pre, post, rejected, j["restart_step"], error)
+           pre, post, rejected, j["restart_step"], error, rejected_reports)
     return spark.createDataFrame([row], AUDIT_SCHEMA)
 
 
@@ -56,7 +57,8 @@ def run_with_audit(spark: SparkSession, audit_path: str, job: JobInfo,
             raise ValueError("the load must be built with observe=True, or its counts are unknown")
         write(result.rows)
         c = result.counts()
-        audit_row(spark, "end", job, c["pre"], c["written"], c["rejected"]).write.mode("append").parquet(audit_path)
+        audit_row(spark, "end", job, c["pre"], c["written"], c["rejected"],
+                  rejected_reports=result.report_rejects.count()).write.mode("append").parquet(audit_path)
     except Exception as e:
         audit_row(spark, "fail", job, error=str(e)).write.mode("append").parquet(audit_path)
         raise

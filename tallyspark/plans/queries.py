@@ -106,11 +106,12 @@ def _unpivoted(body: DataFrame, keys: list[str]) -> DataFrame:
     return _text_value(long).select(*keys, F.col("y").alias("report_year"), "kind", "timeid", "metric_value")
 
 
-def _calendar(spark: SparkSession, d: str) -> DataFrame:
-    """Months and quarters seen in ``orders``; December is left out of the
-    month level so a calendar gap is exercised."""
+def _calendar(spark: SparkSession, d: str, gap: bool = False) -> DataFrame:
+    """Months and quarters seen in ``orders``. ``gap`` leaves December out of
+    the month level, where a calendar gap is what the query is about."""
     o = _orders(spark, d)
-    months = (o.where(F.col("mo") != 12).select("y", "mo").distinct()
+    seen = o.where(F.col("mo") != 12) if gap else o
+    months = (seen.select("y", "mo").distinct()
               .select(F.lit("M").alias("timelvl"), F.lit(LEVEL_MONTH).alias("timelvlnm"),
                       month_key(F.col("y"), F.col("mo")).alias("timeid"),
                       F.date_format(F.make_date(F.col("y"), F.col("mo"), F.lit(1)), "MMM yyyy").alias("timeidnm")))
@@ -214,7 +215,7 @@ def description_lookup(spark, d):
 
 
 def time_join(spark, d):
-    cal = lookups.time_level(_calendar(spark, d), LEVEL_MONTH)
+    cal = lookups.time_level(_calendar(spark, d, gap=True), LEVEL_MONTH)
     return lookups.with_time(unpivot_month(spark, d), cal).select(
         "o_orderpriority", "report_year", "kind", "timeid", "metric_value", "timelvl", "timeidnm", "timelvlnm")
 
@@ -363,20 +364,21 @@ def column_comments(spark, d):
 SEP = "####################"
 
 
-def report_lines(spark, d) -> DataFrame:
-    """Renders one monthly/quarterly report per customer from its orders:
-    preamble, a summary section, both month sections and a quarter section,
-    one metric row per (priority, status) seen in the last two order years.
-    A blank line and, for some customers, an over-wide line are mixed in.
-    ``(report_id, raw_pos, line)``.
+def report_lines(spark, d, per_nation: bool = False) -> DataFrame:
+    """Renders one monthly/quarterly report per customer (or nation) and report
+    year from its orders: preamble, a summary section, both month sections and a quarter
+    section, one metric row per (priority, status) seen in the report year or
+    the year before. Every order is in two reports: its own year's and, as last
+    year, the next one's. A blank line and, for some customers, an over-wide
+    line are mixed in. ``(report_id, raw_pos, line)``.
 
-    One aggregate gives the metric rows; one window over each customer's
-    (at most 15) metric rows numbers them; every metric row emits its four
+    One aggregate gives the metric rows; one window over each report's
+    (at most 75) metric rows numbers them; every metric row emits its four
     section lines and the first one also the report's fixed lines.
     """
-    oc = _orders_customers(spark, d)
-    last_year = oc.groupBy("c_custkey").agg(F.max("y").alias("ry"))
-    oc = oc.join(last_year, "c_custkey").where(F.col("y") >= F.col("ry") - 1)
+    oc = _orders_customers(spark, d).withColumn("ry", F.explode(F.array(F.col("y"), F.col("y") + 1)))
+    if per_nation:
+        oc = oc.withColumns({"c_custkey": F.col("c_nationkey"), "c_acctbal": F.lit(0.0)})
     nation = read_table(spark, d, "nation").select("n_nationkey", "n_name")
     cat = (F.when(F.col("o_orderstatus") == "F", F.lit("Filled"))
            .when(F.col("o_orderstatus") == "O", F.lit("Open")).otherwise(F.lit("")))
@@ -391,9 +393,9 @@ def report_lines(spark, d) -> DataFrame:
     keys = ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", "ry", "o_orderpriority", "o_orderstatus"]
     rows = oc.groupBy(*keys, label.alias("label")).agg(*agg)
     rows = rows.join(sized_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-    per_report = Window.partitionBy("c_custkey")
+    per_report = Window.partitionBy("c_custkey", "ry")
     rows = rows.withColumns({
-        "i": F.row_number().over(per_report.orderBy("o_orderpriority", "o_orderstatus")) - 1,
+        "i": F.row_number().over(per_report.orderBy("c_mktsegment", "o_orderpriority", "o_orderstatus")) - 1,
         "n": F.count(F.lit(1)).over(per_report)})
 
     def csv(*cells):
@@ -427,12 +429,13 @@ def report_lines(spark, d) -> DataFrame:
                     row_text[k].alias("line")) for k in range(4)]
     first = F.col("i") == 0
     lines = F.concat(F.array(*own), F.filter(F.array(*fixed), lambda _: first))
-    return rows.select(F.col("c_custkey").cast("string").alias("report_id"), F.inline(lines)).select(
+    return rows.select(F.concat_ws("-", "c_custkey", "ry").alias("report_id"), F.inline(lines)).select(
         "report_id", F.col("p").alias("raw_pos"), "line")
 
 
-def report_dims(spark, d):
-    """Metric map, suite catalogue and calendar derived from the tables."""
+def report_dims(spark, d, gaps: bool = False):
+    """Metric map, suite catalogue and calendar derived from the tables.
+    ``gaps`` leaves a region's suites and a month out, for rejects."""
     oc = _orders_customers(spark, d)
     combos = oc.select(F.lower(F.col("c_mktsegment")).alias("seg"), "o_orderpriority", "o_orderstatus").distinct()
     cat = (F.when(F.col("o_orderstatus") == "F", F.lit("Filled"))
@@ -448,7 +451,9 @@ def report_dims(spark, d):
                                        F.lit(0).cast("long").alias("ord"))))
     n = read_table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, d, "region").select("r_regionkey", "r_name")
-    nr = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).where(F.col("r_name") != "MIDDLE EAST")
+    nr = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    if gaps:
+        nr = nr.where(F.col("r_name") != "MIDDLE EAST")
     c = read_table(spark, d, "customer").select("c_nationkey", "c_mktsegment")
     suites = (nr.select(F.col("n_name").alias("name"), F.concat(F.lit("rs"), F.col("n_nationkey")).alias("rsid"),
                         F.col("n_nationkey").cast("long").alias("ord"))
@@ -459,7 +464,7 @@ def report_dims(spark, d):
                                    (F.col("n_nationkey") + 100).cast("long").alias("ord")).distinct()))
     # derived once and stored: small parquet, so the broadcast size check
     # reads the file size instead of re-running the derivation
-    return stage(metric_map, "metric-map"), stage(suites, "suites"), stage(_calendar(spark, d), "calendar")
+    return stage(metric_map, "metric-map"), stage(suites, "suites"), stage(_calendar(spark, d, gaps), "calendar")
 
 
 def report_parsed(spark, d) -> DataFrame:
@@ -478,21 +483,21 @@ def section_wide_month(spark, d):
     starts = sections.section_starts(sections.report_heads(marks, LEVEL_MONTH))
     body = sections.carve(parsed, sections.section_bounds(marks, starts))
     wide = sections.project_section(body, "month_this")
-    return wide.withColumn("report_id", F.col("report_id").cast("bigint")).drop("pos")
+    return wide.drop("pos")
 
 
-def _report_load(spark, d, level):
+def _report_load(spark, d, level, gaps=False):
     parsed = report_parsed(spark, d)
-    metric_map, suites, cal = report_dims(spark, d)
+    metric_map, suites, cal = report_dims(spark, d, gaps)
     return load_reports(parsed, metric_map, suites, cal, level, RUN_TS)
 
 
 def report_load_files(spark, d):
-    """The same reports written as text files (one per report, lines in file
-    order, junk lines included) to the shared folder, then read back through
+    """One report per nation and year over all orders, written as text files
+    (one per report, lines in file order, junk lines included) to the shared folder, then read back through
     the splittable file reader and loaded."""
     path = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
-    (report_lines(spark, d).withColumnRenamed("report_id", "rid")
+    (report_lines(spark, d, per_nation=True).withColumnRenamed("report_id", "rid")
      .repartition("rid").sortWithinPartitions("rid", "raw_pos")
      .select("rid", "line").write.partitionBy("rid").text(path))
     metric_map, suites, cal = report_dims(spark, d)
@@ -508,7 +513,15 @@ def report_load_quarter(spark, d):
 
 
 def load_audit(spark, d):
-    return _report_load(spark, d, LEVEL_MONTH).audit()
+    return _report_load(spark, d, LEVEL_MONTH, gaps=True).audit()
+
+
+def load_rejects(spark, d):
+    """Row rejects per report, period and reason, and report rejects."""
+    res = _report_load(spark, d, LEVEL_MONTH, gaps=True)
+    rows = res.rejects().groupBy("report_id", "timeid", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return rows.unionByName(res.report_rejects.select(
+        "report_id", F.lit("").alias("timeid"), "reason", F.lit(1).cast("long").alias("n")))
 
 
 # ---------------------------------------------------------------- writes
@@ -538,6 +551,20 @@ def write_overwrite(spark, d):
     return _read_final(spark, path)
 
 
+def upsert_path(spark, d):
+    """Two runs through ``write(..., "upsert")`` into a table on storage, rows
+    of every segment as a suite of its own: the first run holds the months up
+    to June, the second all months; then the table is read back."""
+    path = _scratch(spark)
+    rows = stage(final_layout(spark, d).groupBy(*[c for c in FINAL_COLS if c not in ("metric_value", "rpt_suite_id", "metric_id")])
+                 .agg(F.max("metric_value").alias("metric_value"))
+                 .withColumns({"rpt_suite_id": F.col("lob"), "metric_id": F.col("product")}).select(*FINAL_COLS), "run")
+    first = rows.where(F.right("timeid", F.lit(2)) <= "06").withColumn("metric_value", F.lit("0.0"))
+    sink.write(spark, first, path, "upsert", RUN_TS)
+    sink.write(spark, rows.withColumn("create_ts", F.lit("second")), path, "upsert", "second")
+    return _read_final(spark, path)
+
+
 def _registered(spark, d) -> str:
     path = _scratch(spark)
     rows = final_layout(spark, d)
@@ -601,6 +628,8 @@ QUERIES = {
     "report_load_files": report_load_files,
     "section_wide_month": section_wide_month,
     "load_audit": load_audit,
+    "load_rejects": load_rejects,
+    "upsert_path": upsert_path,
     "write_append": write_append,
     "write_overwrite": write_overwrite,
     "register_table": register_table,

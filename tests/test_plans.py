@@ -65,7 +65,7 @@ def test_carve_equals_row_model(spark):
 
 
 def test_lines_are_not_shuffled(spark, tmpdir_path):
-    """Pass 2 streams the text scan through broadcast joins only."""
+    """Pass 2 streams the stored scan through broadcast joins only."""
     write_reports(tmpdir_path, {f"r{i}.csv": month_report() for i in range(5)})
     mm, su, td = dims(spark)
     res = load_files(spark, tmpdir_path, mm, su, td, "Month", "R")
@@ -73,36 +73,24 @@ def test_lines_are_not_shuffled(spark, tmpdir_path):
     plan = _plan(res.rows)
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert plan.count("BroadcastHashJoin") >= 4      # split offsets, bounds, metric ids, calendar
-    assert plan.count("FileScan text") == 1          # pass 2 reads the text once; pass 1 is stored
-
-
-def _loop_model(col1, level):
-    """Row-by-row section carve: ordered header rules, last header of a kind
-    wins, body from header + offset to the first '####' at or after it."""
-    frames = {}
-    for ind, c in enumerate(col1):
-        cand = "#" in c and "Metrics" in c
-        if cand and "by" not in c:
-            kind, off = "summary", 2
-        elif cand and "month - this" in c and level == "Month":
-            kind, off = "month_this", 5
-        elif cand and "month - last" in c and level == "Month":
-            kind, off = "month_last", 5
-        elif cand and "quarter" in c and level == "Quarter":
-            kind, off = "quarter", 5
-        else:
-            continue
-        rows = []
-        for j in range(ind + off, len(col1)):
-            if "####" in col1[j]:
-                break
-            if "|" in col1[j]:
-                rows.append(j)
-        frames[kind] = rows
-    return frames
-
-
-def test_all_kinds_equal_loop_model(spark):
+    assert "FileScan text" not in plan               # the text is read once, and stored
+
+
+def _set_model(col1, level):
+    """Per kind, the metric rows from its last header's body start on with no
+    separator between that start and the row."""
+    rules = {"summary": (2, lambda c: "by" not in c), "month_this": (5, lambda c: level == "Month" and "month - this" in c),
+             "month_last": (5, lambda c: level == "Month" and "month - last" in c),
+             "quarter": (5, lambda c: level == "Quarter" and "quarter" in c)}
+    heads = {i: next((k for k, (_, is_kind) in rules.items() if is_kind(c)), None)
+             for i, c in enumerate(col1) if "#" in c and "Metrics" in c}
+    last = {k: max(i for i, found in heads.items() if found == k) + rules[k][0] for k in set(heads.values()) - {None}}
+    stops = [i for i, c in enumerate(col1) if "####" in c]
+    return {k: [r for r, c in enumerate(col1) if r >= s and "|" in c and not any(s <= x <= r for x in stops)]
+            for k, s in last.items()}
+
+
+def test_all_kinds_equal_set_model(spark):
     random.seed(5)
     vocab = ["# Site Metrics", "# Site Metrics by month - this year", "# Site Metrics by month - last year",
              "# Site Metrics by quarter", "# site Metrics by month - this year", "# Metrics by week",
@@ -118,7 +106,7 @@ def test_all_kinds_equal_loop_model(spark):
         body = sections.carve(parsed, sections.section_bounds(marks, starts))
         got = sorted((r.report_id, r.kind, r.pos) for r in body.collect())
         want = sorted((rid, kind, p) for rid, ls in reports.items()
-                      for kind, ps in _loop_model([l.split(",")[0] for l in ls], level).items() for p in ps)
+                      for kind, ps in _set_model([l.split(",")[0] for l in ls], level).items() for p in ps)
         assert got == want, level
 
 
