@@ -16,10 +16,14 @@ and the tables so that ``RECALL`` of the pairs at ``min_cosine`` meet somewhere.
 Every vector is in every table; nothing is capped. A pair that meets in several
 tables counts in the first.
 
-Shape at scale: equal vectors are one row with a count. Cells are sorted inside
-partitions and read as a stream. What leaves a cell is a sum of links per
-vector and a spanning forest, never the pairs. A cell of more than ``HOT``
-distinct vectors is dealt out as pairs of chunks, so a task holds two chunks.
+Shape at scale: equal vectors are one row with a count. To the cells travels
+only a sketch, one byte per counted line (the projection in steps of an eighth
+of the window, rounded so that no collision is lost). Vectors follow only for
+rows that collide often enough with another of their cell, to the group of rows
+so connected there. Both are sorted inside partitions and read as a stream. What
+leaves a group is a sum of links per vector and a spanning forest, never the
+pairs. A cell of more than ``HOT`` distinct vectors is dealt out as pairs of
+chunks, so a task holds two chunks.
 
 Cases: vectors that are null, empty, all zero, or hold null or non-finite
 components link with nothing, nor do rows without an id; vectors of different
@@ -50,7 +54,8 @@ CELL = 6.0       # width of a cell, in largest distances of a linked pair
 HALF = 1.5       # half width of a collision window, in the same unit
 LINES = 32       # lines on which collisions are counted
 PER_CELL = 32
-HOT = 2048
+HOT = 512
+STEPS = 8        # steps of a sketch in a collision window
 SEED = 11
 
 
@@ -116,45 +121,89 @@ def _vectors(col: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(rows := np.flatnonzero(n == d), flat[start[rows][:, None] + np.arange(d)]) for d in np.unique(n) if d]
 
 
+def sketch(v: np.ndarray, plan: Plan) -> np.ndarray:
+    """The projections on the counted lines in steps of ``1 / STEPS`` of a
+    collision window. Rounding down and clipping only bring rows nearer."""
+    at = np.floor(v @ lines(v.shape[1], plan)[0] * (STEPS / (HALF * plan.distance)))
+    return np.clip(at, -127, 127).astype(np.int8)
+
+
+def collide(sketches: np.ndarray, plan: Plan) -> np.ndarray:
+    """Which rows collide on enough lines (symmetric matrix, false diagonal)."""
+    wide, n = sketches.astype(np.int16), len(sketches)
+    out = np.zeros((n, n), bool)
+    step = max(1, (1 << 21) // (n * LINES))
+    for i in range(0, n, step):
+        near = np.abs(wide[i:i + step, None, :] - wide[None, i:, :]) <= STEPS
+        out[i:i + step, i:] = np.count_nonzero(near, axis=2) >= plan.needed
+    out |= out.T
+    np.fill_diagonal(out, False)
+    return out
+
+
 def _placed(plan: Plan):
-    schema = pa.schema([("t", pa.int32()), ("cell", pa.int64()), ("rep", pa.int64()), ("n", pa.int64()),
-                        ("v", pa.list_(pa.float64()))])
+    schema = pa.schema([("rep", pa.int64()), ("h1", pa.int64()), ("dim", pa.int32()), ("sketch", pa.binary()),
+                        ("cells", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, m in _vectors(batch.column(2)):
-                keys = cell_keys(unit(m), plan)
-                part = batch.take(pa.array(rows))
-                for t in range(plan.tables):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), t, np.int32)), pa.array(keys[:, t].copy()), *part.columns], schema=schema)
+                m, part = unit(m), batch.take(pa.array(rows))
+                keys = cell_keys(m, plan)
+                cells = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, plan.tables, dtype=np.int32), keys.ravel())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(np.full(len(rows), m.shape[1], np.int32)),
+                     pa.array([r.tobytes() for r in sketch(m, plan)], pa.binary()), cells], schema=schema)
+
+    return run
+
+
+def _across(linked: np.ndarray, chunk: np.ndarray) -> np.ndarray:
+    """With two chunks only pairs across them count: a chunk with itself is a
+    task of its own."""
+    return linked & (chunk[:, None] != chunk[None, :]) if chunk.min() != chunk.max() else linked
+
+
+def _candidates(plan: Plan):
+    """Rows of a cell that collide with another one, with their group: the
+    position of its first row in the cell's order."""
+    schema = pa.schema([("t", pa.int32()), ("cell", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("g", pa.int64()),
+                        ("p", pa.int64()), ("rep", pa.int64()), ("h1", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, first in whole_groups(batches, 5):
+            chunk = rows.column(5).to_numpy()
+            keep, group = [], []
+            for s, e in zip(first, [*first[1:], rows.num_rows]):
+                if e - s < 2:
+                    continue
+                sketches = np.frombuffer(b"".join(rows.column(8).slice(s, e - s).to_pylist()), np.int8).reshape(e - s, LINES)
+                met = _across(collide(sketches, plan), chunk[s:e])
+                if met.any():
+                    root = np.arange(e - s)
+                    for a, b in zip(*forest(met)):  # parents come before their children
+                        root[b] = root[a]
+                    has = np.flatnonzero(met.any(axis=1))
+                    keep.append(has + s)
+                    group.append(root[has])
+            if keep:
+                part = rows.take(pa.array(np.concatenate(keep)))
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(np.concatenate(group)), *part.columns[5:8]],
+                                                 schema=schema)
 
     return run
 
 
 def links(v: np.ndarray, chunk: np.ndarray, t: int, plan: Plan, min_cosine: float) -> np.ndarray:
-    """Which rows of a cell link (symmetric matrix): collisions counted, then
-    the cosine, then only pairs that meet in no earlier table. With two chunks
-    only pairs across them, unless the task is a chunk with itself."""
-    counted = (v @ lines(v.shape[1], plan)[0]).astype(np.float32)
-    window = np.float32(HALF * plan.distance)
-    out = np.zeros((len(v), len(v)), bool)
-    step = max(1, (1 << 20) // (len(v) * LINES))
-    for i in range(0, len(v), step):
-        hits = (np.abs(counted[i:i + step, None, :] - counted[None, i:, :]) <= window).sum(axis=2) >= plan.needed
-        if hits.any():
-            out[i:i + step, i:] = hits & (v[i:i + step] @ v[i:].T >= min_cosine)
-    out |= out.T
-    np.fill_diagonal(out, False)
-    if chunk.min() != chunk.max():
-        out &= chunk[:, None] != chunk[None, :]
-    a, b = np.nonzero(out)
-    if t and len(a):
-        keys = cell_keys(v, plan)[:, :t]
-        for i in range(0, len(a), 1 << 16):
-            x, y = a[i:i + (1 << 16)], b[i:i + (1 << 16)]
-            seen = (keys[x] == keys[y]).any(axis=1)
-            out[x[seen], y[seen]] = False
+    """Which rows of a group link (symmetric matrix): collisions counted, then
+    the cosine, then only pairs that meet in no earlier table."""
+    out = _across(collide(sketch(v, plan), plan), chunk)
+    a, b = np.nonzero(np.triu(out))
+    keys = cell_keys(v, plan)[:, :t]
+    for i in range(0, len(a), 1 << 14):
+        x, y = a[i:i + (1 << 14)], b[i:i + (1 << 14)]
+        drop = (np.einsum("ij,ij->i", v[x], v[y]) < min_cosine) | (keys[x] == keys[y]).any(axis=1)
+        out[x[drop], y[drop]] = out[y[drop], x[drop]] = False
     return out
 
 
@@ -178,13 +227,13 @@ def _linker(plan: Plan, min_cosine: float):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, first in whole_groups(batches, 4):
+        for rows, first in whole_groups(batches, 5):
             out: list[list] = [[], [], []]
-            t, chunk, rep, n = (rows.column(i).to_numpy(zero_copy_only=False) for i in (0, 4, 5, 6))
+            t, chunk, rep, n = (rows.column(i).to_numpy(zero_copy_only=False) for i in (0, 5, 6, 7))
             for s, e in zip(first, [*first[1:], rows.num_rows]):
                 if e - s < 2:
                     continue
-                for at, m in _vectors(rows.column(7).slice(s, e - s)):
+                for at, m in _vectors(rows.column(8).slice(s, e - s)):
                     if len(at) < 2:
                         continue
                     at = at + s
@@ -207,33 +256,37 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     v = F.col("v")
     sound = (F.col("id").isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
              & F.exists(v, lambda x: x != 0))
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    kept_type = "array<float>" if dict(vectors.dtypes)[vec_col] == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(kept_type).alias("v"))
     rows = rows.select("id", "v", F.coalesce(sound, F.lit(False)).alias("sound"))
     name = [F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2")]
     ids = stage(rows.select("id", "sound", *name), "vec-ids")
     kinds = stage(rows.where("sound").groupBy("v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")), "vec-kinds")
     plan = calibrate(kinds.count(), min_cosine, recall)
 
-    placed = stage(kinds.select("rep", "n", "v").mapInArrow(
-        _placed(plan), "t int, cell long, rep long, n long, v array<double>"), "vec-cells")
-    sizes = placed.groupBy("t", "cell").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    crowded = stage(sizes, "vec-crowded")
-    met = placed.join(crowded, ["t", "cell"])
+    placed = stage(kinds.select("rep", F.xxhash64("v").alias("h1"), "v").mapInArrow(
+        _placed(plan), "rep long, h1 long, dim int, sketch binary, cells array<long>"), "vec-cells")
+    met = placed.select("rep", "h1", "dim", "sketch", F.posexplode("cells").alias("t", "cell"))
+    # few rows: a cell of more than ``hot`` each
+    crowded = stage(met.groupBy("t", "cell").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot), "vec-crowded")
     zero = F.lit(0).cast("long")
-    parts = met.where(F.col("m") <= hot).select("t", "cell", zero.alias("i"), zero.alias("j"), zero.alias("p"), "rep", "n", "v")
-    big = met.where(F.col("m") > hot).withColumn("k", F.ceil(F.col("m") / hot).cast("long"))
-    big = big.withColumn("p", F.pmod(F.xxhash64("v"), F.col("k")))
+    chunks = F.coalesce(F.ceil(F.col("m") / hot), F.lit(1)).cast("long")
+    met = met.join(crowded, ["t", "cell"], "left").withColumn("k", chunks).withColumn("p", F.pmod("h1", "k"))
     # every chunk meets itself and every other one: tasks (i, j), i <= j
-    big = big.withColumn("q", F.explode(F.sequence(zero, F.col("k") - 1))).select(
-        "t", "cell", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "rep", "n", "v")
-    keys = ["t", "cell", "i", "j"]
+    met = met.withColumn("q", F.explode(F.sequence(zero, F.col("k") - 1)))
+    met = met.select("t", "cell", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"),
+                     F.col("dim").cast("long").alias("g"), "p", "rep", "h1", "sketch")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = parts.unionByName(big).repartition(width, *keys).sortWithinPartitions(*keys)
-    found = stage(dealt.select(*keys, "p", "rep", "n", "v")
+    keys = ["t", "cell", "i", "j", "g"]
+    near = stage(met.repartition(width, *keys).sortWithinPartitions(*keys).mapInArrow(
+        _candidates(plan), "t int, cell long, i long, j long, g long, p long, rep long, h1 long"), "vec-near")
+    # rows of different lengths may share a group's number; they are compared apart
+    dealt = near.join(kinds.withColumn("h1", F.xxhash64("v")), ["rep", "h1"]).select(*keys, "p", "rep", "n", "v")
+    found = stage(dealt.repartition(width, *keys).sortWithinPartitions(*keys)
                   .mapInArrow(_linker(plan, min_cosine), "a long, b long, links long"), "vec-links")
     comps = stage(connected_components(found.where(F.col("b").isNotNull()).select("a", "b")), "vec-comps")
     sums = stage(found.where(F.col("b").isNull()).groupBy("a").agg(F.sum("links").alias("links")), "vec-sums")
-    unstage(placed, crowded)
+    unstage(placed, crowded, near)
     named = (kinds.select(*name, "rep", "n").join(sums, F.col("rep") == F.col("a"), "left")
              .join(comps, F.col("rep") == F.col("node"), "left")
              .select("h1", "h2", (F.coalesce("links", zero) + F.col("n") - 1).alias("links"),
