@@ -19,6 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspark.llm import bpe, exact_dedup, language_id, simhash, source_mix
 from tallyspark.session import stage, unstage
 
+# Workers of the last stage run beside executors that the other stages have
+# filled, so they keep fewer pieces than the operator's default.
+KEPT_PIECES = 150_000
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language_id.known_language(docs)
@@ -37,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(docs, with_ids=True)
+    return bpe.round_trip(docs, with_ids=True, kept=KEPT_PIECES)
 
 
 STAGES = [

@@ -41,7 +41,7 @@ from tallyspark.llm.pretokens import Memo, Splitter, cut
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_STATES = 300_000    # sets of states kept before starting anew
 MAX_PAIRS = 600_000     # tested pairs of tokens kept before starting anew
-MAX_PIECES = 150_000    # cut pieces whose ids are kept before starting anew
+MAX_PIECES = 600_000    # cut pieces and words whose ids are kept before starting anew
 CHUNK = 1 << 14         # tokens decoded at a time
 
 
@@ -164,10 +164,13 @@ class Transducer:
                 ok = pairs.get((before, token))
                 if self._stable(before, token) if ok is None else ok:
                     members.append((token, 0, pending + (token,)))
-        n, first = 0, members[0][2]
-        agreed = min(len(m[2]) for m in members)
-        while n < agreed and all(m[2][n] == first[n] for m in members):
-            n += 1
+        first = members[0][2]
+        n = len(first)  # pending tokens on which all members agree
+        for _, _, p in members:
+            if p is not first and p[:n] != first[:n]:
+                n = next((i for i, (x, y) in enumerate(zip(p, first)) if x != y), min(n, len(p)))
+            if not n:
+                break
         key = tuple((b, node, p[n:]) for b, node, p in members) if n else tuple(members)
         to = self.ids.get(key)
         if to is None:
@@ -213,18 +216,18 @@ class Transducer:
 class Tokenizer:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, kept: int = MAX_PIECES):
         self.transducer = Transducer(read_ranks(path))
         self.digits = {i: str(i) for i in self.transducer.bytes_of}
         self.split = Splitter(pattern)
-        self.first = Memo(self._ids, "", MAX_PIECES // 16)
-        self.later = Memo(self._ids, " ", MAX_PIECES // 2)
-        self.words = Memo(lambda word: self.transducer.encode(word.encode()), "", MAX_PIECES // 2)
+        self.first = Memo(self._ids, "", kept // 16)
+        self.later = Memo(self._ids, " ", kept // 2)
+        self.words = Memo(lambda word: self.transducer.encode(word.encode()), "", kept // 2)
 
     def _ids(self, text: str) -> tuple[int, ...]:
         words = self.split(text)
         if len(words) == 1:
-            return self.words[text]
+            return self.transducer.encode(text.encode())  # kept as a piece already
         return tuple(chain.from_iterable(map(self.words.__getitem__, words)))
 
     def encode(self, text: str) -> list[int]:
@@ -277,9 +280,9 @@ class Utf8Stream:
 
 
 @lru_cache(2)
-def tokenizer(path: str, pattern: str) -> Tokenizer:
+def tokenizer(path: str, pattern: str, kept: int = MAX_PIECES) -> Tokenizer:
     """One per worker process, kept between its tasks."""
-    return Tokenizer(path, pattern)
+    return Tokenizer(path, pattern, kept)
 
 
 def vocabulary_path(name: str) -> str:
@@ -307,12 +310,13 @@ def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY, pattern:
 
 
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN,
-               with_ids: bool = False) -> DataFrame:
+               with_ids: bool = False, kept: int = MAX_PIECES) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_tokens, ids_sha256, decoded_sha256,
     round_trip`` (the streamed text equals the input) and, if asked for,
-    ``ids array<int>``."""
+    ``ids array<int>``. ``kept`` bounds the table of pieces of a worker; it
+    changes memory and time only."""
     def run(ids, texts):
-        tok = tokenizer(vocabulary_path(vocabulary), pattern)
+        tok = tokenizer(vocabulary_path(vocabulary), pattern, kept)
         n, a, b, same, every = [], [], [], [], []
         for t in texts:
             text = (t or b"").decode("utf-8", "replace")
