@@ -70,13 +70,22 @@ def fingerprint(text: bytes | None, shingle: int = 4) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
+def text_keys(text_col: str) -> list[F.Column]:
+    """128 bits that tell texts apart: two hashes of different seeds."""
+    text = F.col(text_col).cast("string")
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
+
+
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    def run(ids, texts):
+    """``(id, h1, h2, fp)`` per row, ``h1`` and ``h2`` being the text's keys."""
+    def run(ids, h1, h2, texts):
         fps = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-        return [ids, fps]
+        return [ids, h1, h2, fps]
 
-    return map_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")),
-                       run, "id long, fp long", [("id", pa.int64()), ("fp", pa.int64())])
+    names = ["id", "h1", "h2", "fp"]
+    return map_batches(docs.select(F.col(id_col).cast("long").alias("id"), *text_keys(text_col),
+                                   F.col(text_col).cast("string").alias("t")),
+                       run, ", ".join(f"{n} long" for n in names), [(n, pa.int64()) for n in names])
 
 
 def blocks(m: int) -> list[int]:
@@ -195,40 +204,64 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4, hot: int = HOT) ->
     return linked(cold, ["c", "k"]).unionByName(linked(pairs, ["c", "k", "i", "j"]))
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       shingle: int = 4, max_bits: int = 4, hot: int = HOT) -> DataFrame:
-    """One row per document: ``id_col``, ``fingerprint`` (16 hex digits) and
-    ``component_id`` (smallest id reachable by links, itself included)."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, hot: int, rep) -> tuple[DataFrame, DataFrame]:
+    """``(rows, best)``, both stored tables: the rows of ``fingerprints``, and
+    per distinct fingerprint its component's least ``rep`` (a column of the
+    rows) as ``best``."""
     rows = stage(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
-    reps = stage(rows.groupBy("fp").agg(F.min("id").alias("rep")), "simhash-reps")
+    reps = stage(rows.groupBy("fp").agg(F.min(rep).alias("rep")), "simhash-reps")
     comps = stage(connected_components(fingerprint_links(reps.select("fp"), max_bits, hot)), "simhash-comps")
     roots = reps.join(comps, reps["fp"] == comps["node"], "left").select(
         "fp", "rep", F.coalesce("component", "fp").alias("root"))
     roots = stage(roots, "simhash-roots")
-    best = stage(roots.groupBy("root").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("n")), "simhash-best")
-    named = stage(roots.join(best, "root").select("fp", "component_id"), "simhash-named")
+    best = stage(roots.groupBy("root").agg(F.min("rep").alias("best")), "simhash-best")
+    named = stage(roots.join(best, "root").select("fp", "best"), "simhash-named")
     unstage(reps, comps, roots, best)
+    return rows, named
+
+
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       shingle: int = 4, max_bits: int = 4, hot: int = HOT) -> DataFrame:
+    """One row per document: ``id_col``, ``fingerprint`` (16 hex digits) and
+    ``component_id`` (smallest id reachable by links, itself included)."""
+    rows, named = _rooted(docs, id_col, text_col, shingle, max_bits, hot, F.col("id"))
     # both sides are stored tables: AQE splits the partition of a hot fingerprint
     return rows.join(named, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("best").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` (all its columns) with one document per component: the one
-    whose id is the component's; it stays once even if its row is repeated."""
-    comp = simhash_components(docs, id_col, text_col, shingle, max_bits)
-    gone = comp.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__gone"))
-    gone = stage(gone.distinct(), "simhash-gone")
+    """``docs`` (all its columns) with one row per component: the one with the
+    smallest id, nulls last, and of several texts with that id the one with the
+    smallest hash. Rows are told apart by id and text, so null ids and an id on
+    different texts lose nothing; a row that is repeated (same id and text)
+    stays once."""
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "h1", "h2")
+    rows, named = _rooted(docs, id_col, text_col, shingle, max_bits, HOT, order)
+    best = F.col("best")
+    stays = (F.col("id").eqNullSafe(best["id"]) & (F.col("h1") == best["h1"]) & (F.col("h2") == best["h2"]))
+    # both sides are stored tables: AQE splits the partition of a hot fingerprint
+    marked = stage(rows.join(named, "fp").select(
+        F.col("id").alias("__id"), F.col("h1").alias("__g1"), F.col("h2").alias("__g2"), stays.alias("__stays")),
+        "simhash-marked")
+    unstage(rows, named)
+    keys = ["__id", "__g1", "__g2"]
+    gone = stage(marked.where("not __stays").select(*keys).distinct(), "simhash-gone")
+    again = stage(marked.where("__stays").groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                  .select(*keys), "simhash-again")
+    unstage(marked)
+    h1, h2 = text_keys(text_col)
+    tagged = docs.withColumns({"__h1": h1, "__h2": h2})
+    same = (F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__h1") == F.col("__g1"))
+            & (F.col("__h2") == F.col("__g2")))
     # a hash join on the narrow side, so the texts are not sorted
-    left = docs.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
-    again = stage(comp.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("__again"))
-                  .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__again"), "simhash-again")
+    left = tagged.join(gone.hint("shuffle_hash"), same, "left_anti")
     if again.isEmpty():
-        return left
-    same = F.col(id_col).eqNullSafe(F.col("__again"))
+        return left.select(*docs.columns)
     return left.join(again, same, "left_anti").unionByName(
-        left.join(again, same, "left_semi").dropDuplicates([id_col]))
+        left.join(again, same, "left_semi").dropDuplicates([id_col, "__h1", "__h2"])).select(*docs.columns)
 
 
 def op9_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

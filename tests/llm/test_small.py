@@ -55,6 +55,29 @@ def test_simhash(spark, hot):
     assert simhash.simhash_components(frame(spark, [])).collect() == []
 
 
+def test_near_copies_with_null_and_shared_ids(spark):
+    rnd = random.Random(8)
+    base = [" ".join(f"w{rnd.randrange(900)}" for _ in range(200)) for _ in range(9)]
+    near = [next(t for t in (f"{b} end{k}" for k in range(999))
+                 if 0 < (_fingerprint(t) ^ _fingerprint(b)).bit_count() <= 4) for b in base]
+    rows = [(None, base[0]), (None, base[1]), (None, base[2]),   # unrelated documents without an id
+            (5, base[3]), (None, near[3]),                       # one without an id beside one with
+            (3, base[4]), (7, near[4]), (7, base[5]),            # 7: a near copy and a text of its own
+            (8, base[6]), (8, base[7]), (8, near[7]),            # 8: two components, one with two texts
+            (9, base[8]), (9, base[8]), (None, near[2]), (None, near[2])]
+    fps = [_fingerprint(t) for _, t in rows]
+    comp = list(range(len(rows)))
+    for _ in rows:
+        comp = [min(comp[j] for j in range(len(rows)) if (f ^ fps[j]).bit_count() <= 4) for f in fps]
+    assert len(set(comp)) == 9
+    expected = {c: min((d is None, d or 0) for (d, _), k in zip(rows, comp) if k == c) for c in comp}
+    kept = simhash.drop_near_copies(frame(spark, [(*r, "s") for r in rows]))
+    assert kept.columns == ["doc_id", "text", "source", "lang", "kept"]
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted((comp[rows.index(r)], r[0] is None, r[0] or 0) for r in found) == sorted(
+        (c, *best) for c, best in expected.items())
+
+
 def test_key_masks_catch_every_close_pair():
     rnd = random.Random(5)
     for n in (10, 10 ** 6, 10 ** 9):
