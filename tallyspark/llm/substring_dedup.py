@@ -27,8 +27,8 @@ step 2 and once for the removal.
 
 Cases: null and empty texts have no words; texts shorter than a window lose
 nothing. Repeated rows are occurrences of their own: their windows repeat. A
-document is known by its id and a hash of its text, so null and repeated ids
-are safe. An empty table gives an empty result; extra columns are ignored.
+document is known by 128 bits of hash of its id and text, so null and repeated
+ids are safe. An empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,8 +52,8 @@ MEMO = 100_000  # word hashes kept per worker
 # Odd multipliers of the two rolling hashes and of the final mixing.
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-RUN = "id long, key int, i1 int, i2 int"
-ARROW_RUN = [("id", pa.int64()), ("key", pa.int32()), ("i1", pa.int32()), ("i2", pa.int32())]
+RUN = "k1 long, k2 long, i1 int, i2 int"
+ARROW_RUN = [("k1", pa.int64()), ("k2", pa.int64()), ("i1", pa.int32()), ("i2", pa.int32())]
 
 _words = Memo(xxhash.xxh64_intdigest, b"", MEMO)
 
@@ -110,18 +110,22 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.hash(text).alias("key"), text.alias("t"))
+    """``(k1, k2, id, t)``: rows share ``k1`` and ``k2``, hashes of different
+    seeds, only if they have the same id and text."""
+    id_, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    no_id = id_.isNull()  # hashed too: a null adds nothing to a hash
+    return docs.select(F.xxhash64(no_id, id_, text).alias("k1"), F.xxhash64(F.lit(1), no_id, id_, text).alias("k2"),
+                       id_.alias("id"), text.alias("t"))
 
 
 def _packed(keyed: DataFrame) -> DataFrame:
     """The texts compressed, for a shuffle."""
-    def run(ids, keys, texts):
+    def run(k1, k2, ids, texts):
         pack = zstandard.ZstdCompressor(level=1).compress
-        return [ids, keys, [pack(t) for t in texts]]
+        return [k1, k2, ids, [pack(t) for t in texts]]
 
-    return map_batches(keyed, run, "id long, key int, z binary",
-                       [("id", pa.int64()), ("key", pa.int32()), ("z", pa.binary())])
+    return map_batches(keyed, run, "k1 long, k2 long, id long, z binary",
+                       [("k1", pa.int64()), ("k2", pa.int64()), ("id", pa.int64()), ("z", pa.binary())])
 
 
 def _unpack(z: bytes) -> bytes:
@@ -129,40 +133,39 @@ def _unpack(z: bytes) -> bytes:
 
 
 def _join_docs(keyed: DataFrame, found: DataFrame, how: str) -> DataFrame:
-    same = F.col("id").eqNullSafe(F.col("f_id")) & (F.col("key") == F.col("f_key"))
-    return _packed(keyed).join(found.withColumnsRenamed({"id": "f_id", "key": "f_key"}), same, how).drop("f_id", "f_key")
+    return _packed(keyed).join(found, ["k1", "k2"], how)
 
 
 def repeated_windows(keyed: DataFrame, length: int) -> DataFrame:
-    """``(id, key, i1, i2)``: ranges of windows that occur elsewhere too."""
-    def find(ids, keys, texts):
+    """``(k1, k2, i1, i2)``: ranges of windows that occur elsewhere too."""
+    def find(k1, k2, texts):
         _words.trim()
         found = [runs(word_hashes(t), length) for t in texts]
         n = [len(f[0]) for f in found]
         cat = [np.concatenate(c) if found else np.zeros(0) for c in zip(*found)]
         at = np.repeat(np.arange(len(texts)), n)
         pick = pa.array(at)
-        return [pa.array(ids, pa.int64()).take(pick), pa.array(keys, pa.int32()).take(pick), cat[2], cat[3],
+        return [pa.array(k1, pa.int64()).take(pick), pa.array(k2, pa.int64()).take(pick), cat[2], cat[3],
                 _signed(cat[0]), _signed(cat[1])]
 
-    every = stage(map_batches(keyed, find, RUN + ", a long, c long",
+    every = stage(map_batches(keyed.select("k1", "k2", "t"), find, RUN + ", a long, c long",
                               [*ARROW_RUN, ("a", pa.int64()), ("c", pa.int64())]), "runs")
     shared = stage(every.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"), "runs-shared")
     some = stage(every.join(shared, "a", "left_semi"), "runs-some")
     unstage(every, shared)
     # of equal runs one stands for all in step 2: the one with the lowest hash
-    row = F.xxhash64("id", "key", "i1")
+    row = F.xxhash64("k1", "k2", "i1")
     kinds = stage(some.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("least")), "runs-kinds")
     mixed_anchor = stage(kinds.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a"), "runs-mixed")
     # step 1: whole runs; a run of a kind of its own is left for step 2
     multiple = stage(kinds.where("n > 1").select("a", "c"), "runs-multiple")
-    whole = some.join(multiple, ["a", "c"], "left_semi").select("id", "key", "i1", "i2")
+    whole = some.join(multiple, ["a", "c"], "left_semi").select("k1", "k2", "i1", "i2")
     stands = kinds.join(mixed_anchor, "a", "left_semi").select("a", "c", "least", (F.col("n") == 1).alias("single"))
     stands = stage(stands, "runs-stand")
     compare = (some.withColumn("least", row).join(stands, ["a", "c", "least"])
-               .groupBy("id", "key").agg(F.collect_list(F.struct("i1", "i2", "single")).alias("runs")))
+               .groupBy("k1", "k2").agg(F.collect_list(F.struct("i1", "i2", "single")).alias("runs")))
 
-    def windows(ids, keys, texts, lists):
+    def windows(k1, k2, texts, lists):
         _words.trim()
         cols, n = [], []
         for z, found in zip(texts, lists):
@@ -173,17 +176,17 @@ def repeated_windows(keyed: DataFrame, length: int) -> DataFrame:
             cols.append((at, single, *[_signed(h[at]) for h in hashes]))
             n.append(len(at))
         pick = pa.array(np.repeat(np.arange(len(texts)), n))
-        return [pa.array(ids, pa.int64()).take(pick), pa.array(keys, pa.int32()).take(pick),
+        return [pa.array(k1, pa.int64()).take(pick), pa.array(k2, pa.int64()).take(pick),
                 *[np.concatenate(c) for c in zip(*cols)]]
 
     listed = stage(map_batches(
-        _join_docs(keyed, compare, "inner"), windows, "id long, key int, i int, single boolean, h1 long, h2 long",
-        [("id", pa.int64()), ("key", pa.int32()), ("i", pa.int32()), ("single", pa.bool_()),
+        _join_docs(keyed, compare, "inner").drop("id"), windows, "k1 long, k2 long, i int, single boolean, h1 long, h2 long",
+        [("k1", pa.int64()), ("k2", pa.int64()), ("i", pa.int32()), ("single", pa.bool_()),
          ("h1", pa.int64()), ("h2", pa.int64())]), "windows")
     again = stage(listed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2"),
                   "windows-again")
     one_by_one = listed.where("single").join(again, ["h1", "h2"], "left_semi").select(
-        "id", "key", F.col("i").alias("i1"), F.col("i").alias("i2"))
+        "k1", "k2", F.col("i").alias("i1"), F.col("i").alias("i2"))
     out = stage(whole.unionByName(one_by_one), "windows-repeated")
     unstage(some, kinds, mixed_anchor, multiple, stands, listed, again)
     return out
@@ -212,9 +215,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removal intervals ``[from, to)`` in words) and ``kept_text`` (the kept
     words joined by one space)."""
     keyed = _keyed(docs, id_col, text_col)
-    found = repeated_windows(keyed, length).groupBy("id", "key").agg(F.collect_list(F.struct("i1", "i2")).alias("runs"))
+    found = repeated_windows(keyed, length).groupBy("k1", "k2").agg(F.collect_list(F.struct("i1", "i2")).alias("runs"))
 
-    def cut(ids, keys, texts, lists):
+    def cut(ids, texts, lists):
         n, gone_n, spans, kept = [], [], [], []
         for z, ranges in zip(texts, lists):
             words = _unpack(z).split()
@@ -226,7 +229,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return [ids, n, gone_n, spans, kept]
 
     return map_batches(
-        _join_docs(keyed, found, "left"), cut,
+        _join_docs(keyed, found, "left").select("id", "z", "runs"), cut,
         f"`{id_col}` long, n_words long, n_removed long, intervals array<array<int>>, kept_text string",
         [(id_col, pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
          ("intervals", pa.list_(pa.list_(pa.int32()))), ("kept_text", pa.string())])

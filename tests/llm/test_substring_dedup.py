@@ -70,3 +70,11 @@ def test_intervals_are_maximal(spark):
     got = {r["doc_id"]: r for r in remove_repeats(df, length=3).collect()}
     assert got[1]["intervals"] == [[2, 7]] and got[1]["kept_text"] == "p q z"
     assert got[2]["intervals"] == [[0, 5]] and got[2]["kept_text"] == "y"
+
+
+def test_texts_that_share_a_32_bit_hash(spark):
+    rows = [(d, t) for d in (None, 7) for t in ("p q r s t 45278", "u v w x y z u v w 33363")] + [(1, "p q r s t")]
+    same = [r["h"] for r in spark.createDataFrame(rows, "doc_id long, text string").select(F.hash("text").alias("h")).collect()]
+    assert same[0] == same[1]
+    assert run(spark, rows[2:], 3) == brute(rows[2:], 3)
+    assert run(spark, rows, 3) == brute(rows, 3)
