@@ -63,6 +63,27 @@ def filter_batches(df: DataFrame, column: str, keep: Callable[[bytes | None], bo
     return df.mapInArrow(run, df.schema)
 
 
+def lowest(df: DataFrame, group: str, draw: str, counts: dict, each: int) -> F.Column:
+    """Condition on ``group`` and ``draw`` (a 64-bit hash, once per group) that
+    holds for the ``each`` rows of every group with the lowest hashes, or all
+    of a smaller group. ``counts`` has the groups' sizes. The driver gets the
+    hashes of about ``2 * each`` rows of a group."""
+    least, most = -1 << 63, (1 << 63) - 1
+    wide = {g: min(most, least + ((1 << 64) * (2 * each + 64) // n)) for g, n in counts.items()}
+
+    def below(cuts: dict) -> F.Column:
+        cut = F.create_map(*[F.lit(v) for pair in cuts.items() for v in pair])[F.col(group)]
+        return F.coalesce(F.col(draw) <= cut, F.lit(False))
+
+    found = df.where(below(wide)).select(group, draw).toArrow()
+    groups, draws = np.array(found[group].to_pylist(), object), found[draw].to_numpy()
+    cuts = {}
+    for g, bound in wide.items():
+        own = draws[groups == g]
+        cuts[g] = int(np.partition(own, each - 1)[each - 1]) if len(own) > each else bound
+    return below(cuts)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Rows sorted by their first ``keys`` (integer) columns, regrouped so that
     no group is cut: ``(rows, index of every group's first row)``."""

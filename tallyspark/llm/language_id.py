@@ -12,8 +12,9 @@ Up to six languages have the exhaustive code (every split of the languages in
 two), more have random codewords from a fixed seed.
 
 Learned from text and language only, of documents whose crc32(id as text) mod 3
-is not 1, about ``TRAIN_ROWS`` in all and as many from every language (drawn by
-a hash). Prediction reads the whole text and nothing else.
+is not 1, at most ``TRAIN_ROWS`` in all (but one of every language) and as many
+from every language: those with the lowest hashes of the id. A repeated id is
+one document of the sample, with its least text. Prediction reads the whole text and nothing else.
 
 Cases: a null text or one without a letter is ``und`` with score 0. Without any
 labelled document every text is ``und``; with one language that is predicted
@@ -32,8 +33,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import filter_batches, map_batches, table
+from tallyspark.llm.common import filter_batches, lowest, map_batches, table
 from tallyspark.llm.linear import fit_dense, sigmoid
+from tallyspark.session import stage, unstage
 
 WIDTH = 4096
 TRAIN_ROWS = 3000
@@ -103,14 +105,15 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     known = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
                         F.col("doc_id").alias("id")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    counts = sorted((r["lang"], r["n"]) for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
-    langs = [lang for lang, _ in counts]
+    known = known.withColumn("draw", F.xxhash64("id", F.lit("language")))
+    ids = stage(known.select("lang", "id", "draw").distinct(), "lang-ids")
+    counts = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    langs = sorted(counts)
     if not langs:
         return Model([], np.zeros((0, WIDTH), np.float32), np.zeros(0, int))
-    share = [min(1.0, train_rows / len(langs) / n) for _, n in counts]
-    draw = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1_000_003)) / 1_000_003
-    picked = F.create_map(*[F.lit(v) for pair in zip(langs, share) for v in pair])
-    sample = known.where(draw < picked[F.col("lang")]).select("text", "lang")
+    drawn = lowest(ids, "lang", "draw", counts, max(1, train_rows // len(langs)))
+    unstage(ids)
+    sample = known.where(drawn).groupBy("lang", "id").agg(F.min("text").alias("text")).select("text", "lang")
 
     def run(texts, labels):
         return [labels, [features(t.decode("utf-8", "replace")).tobytes() for t in texts]]

@@ -10,9 +10,10 @@ Features: the set of words of the whole text (letters, lower-cased) and the set
 of their five-letter beginnings, hashed to ``WIDTH``; those in fewer than
 ``MIN_DOCS`` sampled documents are left out.
 
-Sample: about ``TRAIN_ROWS`` labelled documents, drawn by a hash of the id, half
-from those with the last category and half from those without. Only their ids
-are broadcast (bounded by the sample).
+Sample: at most ``TRAIN_ROWS`` labelled documents, those with the lowest hashes
+of the id, half from those with the last category and half from those without.
+Only their ids are broadcast (bounded by the sample). A repeated id is one
+document of the sample, with its least text.
 
 Categories are columns of the label table: the registered query chains
 ``low_quality`` (quality 0) and ``toxic``.
@@ -35,8 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import map_batches, table
+from tallyspark.llm.common import lowest, map_batches, table
 from tallyspark.llm.linear import Sparse, sigmoid
+from tallyspark.session import stage
 
 WIDTH = 1 << 20
 TRAIN_ROWS = 4000
@@ -99,15 +101,14 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], train_rows: i
     """``labels``: ``doc_id`` and one 0/1 column per category."""
     own = labels.select(F.col("doc_id").alias("id"), *[F.col(c).cast("double").alias(c) for c in categories]).dropna()
     own = own.groupBy("id").agg(*[F.max(c).alias(c) for c in categories])
+    own = own.join(docs.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
+    own = stage(own.withColumn("draw", F.xxhash64("id", F.lit("toxic"))), "toxic-labels")
     last = categories[-1]
     counts = {r[last]: r["n"] for r in own.groupBy(last).agg(F.count(F.lit(1)).alias("n")).collect()}
-    picked = F.lit(0.0)
-    for value, n in counts.items():
-        picked = F.when(F.col(last) == value, min(1.0, train_rows / 2 / n)).otherwise(picked)
-    draw = F.pmod(F.xxhash64("id", F.lit("toxic")), F.lit(1_000_003)) / 1_000_003
+    drawn = own.where(lowest(own, last, "draw", counts, max(1, train_rows // 2)) if counts else F.lit(False)).drop("draw")
     # bounded by the sample size, whatever the table's
     sample = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).join(
-        F.broadcast(own.where(draw < picked)), "id")
+        F.broadcast(drawn), "id").groupBy("id", *categories).agg(F.min("text").alias("text"))
 
     def run(ids, texts, *values):
         return [ids, [text_features(t).tobytes() for t in texts], *values]

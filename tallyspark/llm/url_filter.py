@@ -8,9 +8,9 @@ and all its subdomains when the url's path starts with the rule's (``net/``
 has path ``/``); the longest rule wins.
 
 The urls that a rule decides are the labelled ones. The trees
-(``pyspark.ml`` ``GBTClassifier``) learn from at most about
-``TRAIN_ROWS`` of them, drawn by a hash of the url (half from each verdict);
-they judge the others. Features: lengths of url, host, path and query, path
+(``pyspark.ml`` ``GBTClassifier``) learn from at most ``TRAIN_ROWS`` distinct
+ones, those of each verdict with the lowest hashes (half from each verdict),
+weighted by their rows; they judge the others. Features: lengths of url, host, path and query, path
 depth, host labels, digit ratio, character entropy, hyphens, parameter counts,
 scheme, and block rates and counts of the last one and last two host labels.
 Those suffix statistics count every labelled url, in a fixed number of hash
@@ -30,7 +30,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import table
+from tallyspark.llm.common import lowest, table
 from tallyspark.session import stage
 
 # The rules of the registered query: (verdict, host and path).
@@ -108,6 +108,21 @@ def _suffix_table(labelled: DataFrame, key: str, overall: float) -> DataFrame:
                                      F.log1p(n).alias(f"{key}_n"))
 
 
+def training_urls(labelled: DataFrame, counts: dict, each: int) -> DataFrame:
+    """At most ``each`` distinct urls per label, one row per url. Their weights
+    follow the rows of a url and add up to what ``each`` rows of the label
+    weigh, or all its rows if these are fewer."""
+    urls = stage(labelled.groupBy("label", "url_hash").agg(F.count(F.lit(1)).alias("n")), "url-distinct")
+    sizes = {r["label"]: r["n"] for r in urls.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drawn = stage(urls.where(lowest(urls, "label", "url_hash", sizes, each)), "url-drawn")
+    sums = {r["label"]: r["n"] for r in drawn.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    scale = F.create_map(*[F.lit(v) for k, n in sums.items() for v in (k, min(counts[k], each) / n)])
+    drawn = drawn.select("label", "url_hash", (F.col("n") * scale[F.col("label")]).alias("weight"))
+    # bounded by the sample size, whatever the table's
+    rows = labelled.drop("id", "host", "path", "rule", "ruled").join(F.broadcast(drawn), ["label", "url_hash"])
+    return stage(rows.dropDuplicates(["label", "url_hash"]), "url-sample")
+
+
 def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url",
                train_rows: int = TRAIN_ROWS) -> DataFrame:
     """One row per page: ``id_col, host, path, rule, verdict, block_score``
@@ -129,11 +144,8 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
         df = df.fillna({"tld_rate": overall, "domain_rate": overall, "tld_n": 0.0, "domain_n": 0.0})
         return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
 
-    share = {k: min(1.0, train_rows / 2 / n) for k, n in counts.items()}
-    draw = F.pmod("url_hash", F.lit(1_000_003)) / 1_000_003
-    sample = labelled.where(draw < F.when(F.col("label") == 1, share[1.0]).otherwise(share[0.0]))
-    sample = vectors(sample).select("label", "features").coalesce(2)
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(sample)
+    sample = vectors(training_urls(labelled, counts, max(1, train_rows // 2))).select("label", "weight", "features").coalesce(2)
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, weightCol="weight").fit(sample)
     scored = model.transform(vectors(rows)).withColumn("block_score", vector_to_array("probability")[1])
     verdict = F.coalesce("ruled", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
     return scored.select(F.col("id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), "block_score")

@@ -10,7 +10,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, exact_dedup, language_id, simhash, source_mix, token_counts, url_filter
+from tallyspark.llm import bpe, exact_dedup, language_id, simhash, source_mix, token_counts, toxicity, url_filter
 
 ROWS = [(1, "a b c d e", "s"), (2, " a  b c\nd e", "s"), (3, None, None), (4, "", "t"), (5, "abcde", "t"),
         (6, "x y", None), (6, "x y", None), (None, "a b c d e f", "s"), (7, "Ünï 1,2 \U0003f764눭 don't\n\n end ", "u")]
@@ -136,3 +136,35 @@ def test_url_rules(spark):
     assert got[0] == ("a.example.net", "/en/x", "example.net/en/") and got[1] == ("net", "/de/", "net/")
     assert got[2] == ("foo.net", "", None) and got[3] == ("example.com", "/de/", "example.com/de/")
     assert got[4] == got[5] == got[6] == ("", "", None) and got[7][2] == "org/fr/" and got[8][2] == "net/" and got[9][2] is None
+
+
+def test_url_sample_with_repeated_urls(spark):
+    urls = ["http://a.net/"] * 300 + ["http://b.org/fr/"] * 300 + [f"http://c{i}.net/" for i in range(60)] + ["http://x.com/q"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    rows = url_filter.lexical(df, "page_id", "url", url_filter.RULES).where("ruled is not null").withColumn(
+        "label", (F.col("ruled") == "block").cast("double"))
+    sample = url_filter.training_urls(rows, {1.0: 360, 0.0: 300}, 8).collect()
+    by = {v: [r for r in sample if r["label"] == v] for v in (0.0, 1.0)}
+    assert len(by[1.0]) == 8 and len(by[0.0]) == 1 and len({r["url_hash"] for r in sample}) == 9
+    assert all(abs(sum(r["weight"] for r in g) - 8) < 1e-9 for g in by.values())
+    for few in range(1, 6):  # many rows of few urls: no verdict may drop out
+        got = url_filter.judge_urls(df.where("page_id < 600 or page_id = 660"), train_rows=few).collect()
+        assert len(got) == 601 and all(r["block_score"] is not None for r in got)
+
+
+def test_samples_are_bounded_and_one_row_per_id(spark, monkeypatch):
+    rows = [(1, "alpha beta", "en")] * 200 + [(2, "gamma delta", "de")] * 200 + [
+        (i, f"alpha w{i}", "en") for i in range(3, 60)] + [(i, f"gamma v{i}", "de") for i in range(60, 120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sizes = []
+    model, chain = language_id.Model, toxicity.Chain
+    monkeypatch.setattr(language_id, "Model", lambda langs, x, y: sizes.append([int((y == k).sum()) for k in range(2)]) or model(langs, x, y))
+    monkeypatch.setattr(toxicity, "Chain", lambda c, x, y: sizes.append([int((y[:, 1] == k).sum()) for k in range(2)]) or chain(c, x, y))
+    labels = docs.select("doc_id", F.lit(0).alias("low"), (F.col("doc_id") % 2).alias("toxic"))
+    labels = labels.unionByName(spark.range(1000, 1400).select(F.col("id").alias("doc_id"), F.lit(1).alias("low"), (F.col("id") % 2).alias("toxic")))
+    for n in (2, 10, 400):
+        language_id.fit(docs, n)
+        toxicity.fit(docs, labels, ["low", "toxic"], n)
+    held = [spark.range(120).where(language_id.held_out(F.col("id")) & F.col("id").between(a, b)).count() for a, b in ((60, 119), (3, 59))]
+    one, two = (spark.range(3).where(~language_id.held_out(F.col("id")) & (F.col("id") == k)).count() for k in (1, 2))
+    assert sizes == [[1, 1], [1, 1], [5, 5], [5, 5], [60 - held[0] + two, 57 - held[1] + one], [59, 60]]
