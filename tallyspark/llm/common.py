@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,6 +51,45 @@ def map_batches(df: DataFrame, fn: Callable[..., list], schema: str, arrow_types
     return df.mapInArrow(run, schema)
 
 
+def map_task(df: DataFrame, make: Callable[[], Callable[..., list]], schema: str,
+             arrow_types: list[tuple[str, pa.DataType]], rows: int = ROWS) -> DataFrame:
+    """``map_batches`` with a state per task: ``make()`` gives the function
+    when a task starts, and what it holds (vocabularies, tables of words) is
+    given back to the system when the task ends, so that it does not lie beside
+    the next stage in a reused worker."""
+    out_schema = pa.schema(arrow_types)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        try:
+            for batch in batches:
+                for i in range(0, batch.num_rows, rows):
+                    part = batch.slice(i, rows)
+                    cols = [c.cast(pa.large_binary()).to_pylist()
+                            if pa.types.is_string(c.type) or pa.types.is_large_string(c.type) else c.to_pylist()
+                            for c in part.columns]
+                    out = fn(*cols)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v, type=f.type, from_pandas=False) for v, f in zip(out, out_schema, strict=True)],
+                        schema=out_schema)
+                    del cols, out
+        finally:
+            del fn
+            give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Returns a worker's free memory to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc: its allocator decides
+        pass
+
+
 def filter_batches(df: DataFrame, column: str, keep: Callable[[bytes | None], bool]) -> DataFrame:
     """The rows of ``df`` whose text ``column`` passes ``keep`` (as bytes)."""
     at = df.columns.index(column)
