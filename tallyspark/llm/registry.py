@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tallyspark.llm import (bpe, embedding_dedup, exact_dedup, language_id, piece_bpe, simhash, source_mix, substring_dedup, token_counts,
-                            toxicity, url_filter)
+                            toxicity, url_filter, whitening)
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op12_sentencepiece": piece_bpe.op12_sentencepiece,
     "pipeline": corpus_pipeline.run,
 }
