@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tallyspark.llm import (bpe, embedding_dedup, exact_dedup, language_id, piece_bpe, simhash, source_mix, substring_dedup, token_counts,
+from tallyspark.llm import (bpe, collocations, embedding_dedup, exact_dedup, language_id, piece_bpe, simhash, source_mix, substring_dedup, token_counts,
                             toxicity, url_filter, whitening)
 
 QUERIES = {
@@ -19,10 +19,12 @@ QUERIES = {
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op12_sentencepiece": piece_bpe.op12_sentencepiece,
+    "op13_collocations": collocations.op13_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op2_source_mix": source_mix.ORACLE,
     "op5_exact_dedup": exact_dedup.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
