@@ -54,7 +54,7 @@ SHARE = (100, 80)       # a longer phrase absorbs a shorter one at 80 of 100 of
 SCALE = 2_000_000
 SHARD_WORDS = 2_000_000
 RANGE_BYTES = 12_000_000
-UNION_NODES = 1_500_000  # nodes of blocks taken together before they are united
+UNION_NODES = 1_000_000  # nodes of blocks taken together before they are united
 SAMPLE_ROWS, SAMPLE_GRAMS = 2_000, 48
 ASKED = 50_000          # parts looked up by one task in one range
 GROUP = 100_000         # rows of a group when the first phrases are sought
@@ -62,8 +62,8 @@ GROUP = 100_000         # rows of a group when the first phrases are sought
 BREAK = b"\xff"
 SIGNS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r",
                         b"abcdefghijklmnopqrstuvwxyz " + BREAK * 10)
-BLOCK = "range int, labels array<binary>, data binary"
-ARROW_BLOCK = pa.schema([("range", pa.int32()), ("labels", pa.list_(pa.binary())), ("data", pa.binary())])
+BLOCK = "range int, data binary"
+ARROW_BLOCK = pa.schema([("range", pa.int32()), ("data", pa.binary())])
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -158,9 +158,8 @@ def count_blocks(docs: DataFrame, bounds: list[tuple[bytes, ...]], longest: int,
 
         def blocks():
             for r, part in shard.trie(longest).cut(bounds):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r], pa.int32()), pa.array([part.labels], pa.list_(pa.binary())), pa.array([part.pack()], pa.binary())],
-                    schema=ARROW_BLOCK)
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([part.pack()], pa.binary())],
+                                                 schema=ARROW_BLOCK)
 
         for batch in batches:
             for lang, text in _pairs(batch):
@@ -176,10 +175,11 @@ def count_blocks(docs: DataFrame, bounds: list[tuple[bytes, ...]], longest: int,
     return docs.mapInArrow(run, BLOCK)
 
 
-def _rows(batches, columns: int):
+def _rows(batches):
+    """``(range, data)``."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield tuple(batch.column(k)[i].as_py() for k in range(columns))
+            yield batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
 
 
 def united(blocks: DataFrame, least: int) -> DataFrame:
@@ -190,16 +190,15 @@ def united(blocks: DataFrame, least: int) -> DataFrame:
 
         def result():
             whole = Trie.union(tries).at_least(least, 1)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([own], pa.int32()), pa.array([whole.labels], pa.list_(pa.binary())), pa.array([whole.pack()], pa.binary())],
-                schema=ARROW_BLOCK)
+            return pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([whole.pack()], pa.binary())],
+                                              schema=ARROW_BLOCK)
 
-        for r, labels, data in _rows(batches, 3):
+        for r, data in _rows(batches):
             if r != own and tries:
                 yield result()
                 tries, nodes = [], 0
             own = r
-            tries.append(Trie.unpack(labels, data))
+            tries.append(Trie.unpack(data))
             nodes += tries[-1].nodes
             if nodes > UNION_NODES:
                 tries = [Trie.union(tries)]
@@ -228,8 +227,8 @@ def asked_parts(frequent: DataFrame, bounds: list[tuple[bytes, ...]]) -> DataFra
     lie in the candidate's range, ``range`` is the part's. Rows without a phrase
     hold the words of a language in ``a``."""
     def run(batches):
-        for _, labels, data in _rows(batches, 3):
-            trie = Trie.unpack(labels, data)
+        for _, data in _rows(batches):
+            trie = Trie.unpack(data)
             text = [w.decode("utf-8", "replace") for w in trie.labels]
             paths: list[tuple] = [((), ())]
             out: list[tuple] = []
@@ -266,11 +265,11 @@ def answered(asked: DataFrame, frequent: DataFrame, asked_by_task: int) -> DataF
     none = F.lit(None)
     questions = (open_.join(dealt, "range")
                  .select("range", F.pmod(F.xxhash64("lang", "phrase", "start", "stop"), F.col("pieces")).cast("int").alias("piece"),
-                         F.lit(1).alias("kind"), none.cast("array<binary>").alias("labels"), none.cast("binary").alias("data"),
+                         F.lit(1).alias("kind"), none.cast("binary").alias("data"),
                          "lang", "phrase", "a", "start", "stop"))
     copies = (frequent.join(dealt, "range")
               .select("range", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.lit(0).alias("kind"),
-                      "labels", "data", none.cast("string").alias("lang"), none.cast("string").alias("phrase"),
+                      "data", none.cast("string").alias("lang"), none.cast("string").alias("phrase"),
                       none.cast("long").alias("a"), none.cast("int").alias("start"), none.cast("int").alias("stop")))
 
     def run(batches):
@@ -280,16 +279,16 @@ def answered(asked: DataFrame, frequent: DataFrame, asked_by_task: int) -> DataF
             edges = [0, *(np.flatnonzero(kinds == 0)).tolist(), batch.num_rows]
             for low, high in zip(edges, edges[1:]):
                 if low < high and kinds[low] == 0:
-                    automaton = Lookup(batch.column(3)[low].as_py(), batch.column(4)[low].as_py())
+                    automaton = Lookup(batch.column(3)[low].as_py())
                     low += 1
                 part = batch.slice(low, high - low)
                 if not part.num_rows:
                     continue
-                langs, phrases, starts, stops = (part.column(k).to_pylist() for k in (5, 6, 8, 9))
+                langs, phrases, starts, stops = (part.column(k).to_pylist() for k in (4, 5, 7, 8))
                 grams = [(lang.encode(), *phrase.encode().split(b" ")[i:j])
                          for lang, phrase, i, j in zip(langs, phrases, starts, stops)]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(k) for k in (5, 6, 7, 8, 9)], pa.array(automaton.weights(grams))],
+                    [*[part.column(k) for k in (4, 5, 6, 7, 8)], pa.array(automaton.weights(grams))],
                     names=["lang", "phrase", "a", "start", "stop", "f"])
         give_back()
 

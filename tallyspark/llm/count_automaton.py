@@ -21,7 +21,8 @@ import zstandard
 
 # Odd multipliers of the two hashes that name equal states.
 LANES = ((0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9), (0xD1B54A32D192ED03, 0x94D049BB133111EB))
-LEVEL = 1  # compression of stored automata
+LEVEL = 3  # compression of stored automata
+BETWEEN = b"\xff"  # between stored labels; no part of UTF-8
 
 
 def _mix(h: np.ndarray, by: int) -> np.ndarray:
@@ -29,6 +30,19 @@ def _mix(h: np.ndarray, by: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _grouped(keys: np.ndarray, kind: str | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(distinct keys, group of every key, sort order, first place of every
+    group in that order)``. A ``stable`` sort makes use of runs that are sorted."""
+    order = np.argsort(keys, kind=kind)
+    held = keys[order]
+    new = np.ones(len(held), bool)
+    np.not_equal(held[1:], held[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    group = np.empty(len(keys), np.int32)
+    group[order] = np.cumsum(new, dtype=np.int32) - 1
+    return held[first], group, order, first
+
+
 def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """``start[i], start[i]+1, ...`` (``size[i]`` of them), one after another."""
     ends = np.cumsum(size)
@@ -53,17 +67,17 @@ class Trie:
         group's label (``groups`` beside ``words``), whose weight is the number
         of words."""
         span = np.int64(len(labels) + 1)
-        at = np.flatnonzero(words >= 0)
-        found, node, count = np.unique(groups[at], return_inverse=True, return_counts=True)
-        levels = [(np.zeros(len(found), np.int64), found.astype(np.int64), count)]
+        at = np.flatnonzero(words >= 0).astype(np.int32)
+        found, node, _, first = _grouped(groups[at])
+        levels = [(np.zeros(len(found), np.int32), found.astype(np.int32), np.diff(np.append(first, len(at))))]
         for depth in range(longest):
             if depth:  # n-grams that go on inside their piece
                 more = at + depth < len(words)
                 at, node = at[more], node[more]
                 more = words[at + depth] >= 0
                 at, node = at[more], node[more]
-            key, node, count = np.unique(node * span + words[at + depth], return_inverse=True, return_counts=True)
-            levels.append((key // span, key % span, count))
+            key, node, _, first = _grouped(node * span + words[at + depth])
+            levels.append(((key // span).astype(np.int32), (key % span).astype(np.int32), np.diff(np.append(first, len(at)))))
         return cls(labels, levels)
 
     def children(self, depth: int) -> np.ndarray:
@@ -79,19 +93,19 @@ class Trie:
             return tries[0]
         labels = sorted(set().union(*[t.labels for t in tries]))
         number = {w: i for i, w in enumerate(labels)}
-        renamed = [np.fromiter(map(number.__getitem__, t.labels), np.int64, len(t.labels)) for t in tries]
+        renamed = [np.fromiter(map(number.__getitem__, t.labels), np.int32, len(t.labels)) for t in tries]
         span = np.int64(len(labels) + 1)
-        mapped = [np.zeros(1, np.int64) for _ in tries]
+        mapped = [np.zeros(1, np.int32) for _ in tries]
         levels = []
         for depth in range(max(len(t.levels) for t in tries)):
             own = [t.levels[depth] if depth < len(t.levels) else (np.zeros(0, np.int64),) * 3 for t in tries]
             keys = np.concatenate([m[p] * span + r[w] for (p, w, _), m, r in zip(own, mapped, renamed)])
-            found, node = np.unique(keys, return_inverse=True)
-            weight = np.zeros(len(found), np.int64)
-            np.add.at(weight, node, np.concatenate([w for _, _, w in own]))
+            found, node, order, first = _grouped(keys, "stable")
+            weight = np.concatenate([w for _, _, w in own])[order]
             ends = np.cumsum([0, *[len(p) for p, _, _ in own]])
             mapped = [node[a:b] for a, b in zip(ends, ends[1:])]
-            levels.append((found // span, found % span, weight))
+            levels.append(((found // span).astype(np.int32), (found % span).astype(np.int32),
+                           np.add.reduceat(weight, first) if len(first) else weight))
         return cls(labels, levels)
 
     def at_least(self, weight: int, inner: int) -> Trie:
@@ -185,7 +199,7 @@ class Trie:
     def pack(self) -> bytes:
         """The automaton, equal states merged."""
         parts: list[np.ndarray] = []
-        state = np.zeros(0, np.int64)  # of the nodes of the depth below
+        state = np.zeros(0, np.int32)  # of the nodes of the depth below
         names = [np.zeros(0, np.uint64)] * 2
         for depth in range(len(self.levels), -1, -1):
             weight = self.levels[depth - 1][2] if depth else np.zeros(1, np.int64)
@@ -200,69 +214,92 @@ class Trie:
             names = [_mix(_mix(weight.astype(np.uint64) * np.uint64(b) + s, a) + np.uint64(b), b)
                      for (a, b), s in zip(LANES, sums)]
             # two lanes of 64 bits name a state
-            pair = np.empty(len(weight), [("a", np.uint64), ("b", np.uint64)])
-            pair["a"], pair["b"] = names
-            order = np.argsort(pair["a"], kind="stable")
-            if len(order) and (np.diff(pair["a"][order]) == 0).any():
-                order = np.lexsort((pair["b"], pair["a"]))
-            sorted_ = pair[order]
-            new = np.concatenate(([True], sorted_[1:] != sorted_[:-1])) if len(order) else np.zeros(0, bool)
-            number = np.empty(len(order), np.int64)
-            number[order] = np.cumsum(new) - 1
-            one = order[new]  # a node for each state
+            order = np.argsort(names[0])
+            held = [n[order] for n in names]
+            new = np.ones(len(order), bool)
+            new[1:] = held[0][1:] != held[0][:-1]
+            if (~new[1:] & (held[1][1:] != held[1][:-1])).any():  # one lane is not enough
+                order = np.lexsort((names[1], names[0]))
+                held = [n[order] for n in names]
+                new[1:] = (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1])
+            # the first node of each state
+            one = np.minimum.reduceat(order, np.flatnonzero(new)) if len(order) else order
+            by_node = np.argsort(one)  # states are numbered as they are met
+            rank = np.empty(len(one), np.int32)
+            rank[by_node] = np.arange(len(one), dtype=np.int32)
+            number = np.empty(len(order), np.int32)
+            number[order] = rank[np.cumsum(new) - 1]
+            one = one[by_node]
             size = (first[1:] - first[:-1])[one]
             places = _places(first[:-1][one], size)
             word = self.levels[depth][1][places] if depth < len(self.levels) else places
             parts += [weight[one], size, word, state[places] if depth < len(self.levels) else places]
             state = number
-        head = np.array([len(self.levels), *[len(p) for p in parts]], np.int64)
-        body = b"".join(_narrow(p) for p in parts)
-        return zstandard.ZstdCompressor(level=LEVEL).compress(head.tobytes() + body)
+        words = BETWEEN.join(self.labels)
+        head = np.array([len(self.levels), len(words), *[len(p) for p in parts]], np.int64)
+        # words and targets as steps from their neighbours
+        body = b"".join(_narrow(_steps(p) if i % 4 > 1 else p) for i, p in enumerate(parts))
+        return zstandard.ZstdCompressor(level=LEVEL).compress(head.tobytes() + words + body)
 
     @classmethod
-    def unpack(cls, labels: list[bytes], data: bytes) -> Trie:
+    def unpack(cls, data: bytes) -> Trie:
         """The n-grams of an automaton, depth by depth from its start."""
-        states = unpack_states(data)
+        labels, states = unpack_states(data)
         at = np.zeros(1, np.int64)
         levels = []
         for depth in range(len(states) - 1):
             _, offset, word, to = states[depth]
             size = (offset[1:] - offset[:-1])[at]
             places = _places(offset[:-1][at], size)
-            parent = np.repeat(np.arange(len(at)), size)
+            parent = np.repeat(np.arange(len(at), dtype=np.int32), size)
             at = to[places]
-            levels.append((parent, word[places], states[depth + 1][0][at]))
+            levels.append((parent, word[places].astype(np.int32), states[depth + 1][0][at]))
         return cls(labels, levels)
 
 
+def _steps(a: np.ndarray) -> np.ndarray:
+    """Differences of neighbours; steps back become odd numbers."""
+    step = np.diff(a.astype(np.int64), prepend=0)
+    return np.where(step < 0, -2 * step - 1, 2 * step)
+
+
+def _from_steps(step: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.where(step & 1, -((step + 1) >> 1), step >> 1))
+
+
 def _narrow(a: np.ndarray) -> bytes:
-    """An array of whole numbers from 0 in the narrowest type, named first."""
+    """An array of whole numbers from 0 in the narrowest type, named first;
+    lowest bytes of all numbers first, then the next ones."""
     top = int(a.max()) if len(a) else 0
     kind = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-    return bytes([kind]) + a.astype(f"<u{kind}").tobytes()
+    return bytes([kind]) + a.astype(f"<u{kind}").view(np.uint8).reshape(-1, kind).T.tobytes()
 
 
-def unpack_states(data: bytes) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """``(weight, offset of the first arc, arcs' words, arcs' targets)`` per
-    depth, the start's first."""
+def unpack_states(data: bytes) -> tuple[list[bytes], list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]:
+    """The labels, and ``(weight, offset of the first arc, arcs' words, arcs'
+    targets)`` per depth, the start's first."""
     raw = zstandard.ZstdDecompressor().decompress(data)
-    depths = int(np.frombuffer(raw, np.int64, 1)[0])
-    sizes = np.frombuffer(raw, np.int64, 4 * (depths + 1), 8).tolist()
-    at, parts = 8 + 32 * (depths + 1), []
-    for n in sizes:
+    depths, size = np.frombuffer(raw, np.int64, 2).tolist()
+    sizes = np.frombuffer(raw, np.int64, 4 * (depths + 1), 16).tolist()
+    at = 16 + 32 * (depths + 1)
+    labels = raw[at:at + size].split(BETWEEN) if size or depths else []
+    at, parts = at + size, []
+    for i, n in enumerate(sizes):
         kind = raw[at]
-        parts.append(np.frombuffer(raw, f"<u{kind}", n, at + 1).astype(np.int64))
+        planes = np.frombuffer(raw, np.uint8, n * kind, at + 1).reshape(kind, n)
+        part = np.ascontiguousarray(planes.T).view(f"<u{kind}").reshape(-1).astype(np.int64)
+        parts.append(_from_steps(part) if i % 4 > 1 else part)
         at += 1 + kind * n
-    return [(w, np.concatenate(([0], np.cumsum(size))), word, to)
-            for w, size, word, to in (parts[i:i + 4] for i in range(0, len(parts), 4))][::-1]
+    return labels, [(w, np.concatenate(([0], np.cumsum(size))), word, to)
+                    for w, size, word, to in (parts[i:i + 4] for i in range(0, len(parts), 4))][::-1]
 
 
 class Lookup:
     """Composition of an automaton with n-grams: each n-gram is an acceptor of
     one path, and the product follows it arc by arc."""
 
-    def __init__(self, labels: list[bytes], data: bytes):
-        self.states = unpack_states(data)
+    def __init__(self, data: bytes):
+        labels, self.states = unpack_states(data)
         self.span = len(labels) + 1
         self.number = {w: i for i, w in enumerate(labels)}
         self.keys = [np.repeat(np.arange(len(offset) - 1), np.diff(offset)) * self.span + word
