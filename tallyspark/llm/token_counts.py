@@ -13,18 +13,16 @@ of rank r scores ``-log(r + RANK_SHIFT)`` (Zipf's law). Equal scores take fewer
 tokens. Single bytes are always pieces (the vocabulary holds all 256), so every
 text has a segmentation.
 
-Shape at scale: one scan, no shuffle; the trie of a worker is bounded by
-``MAX_NODES`` and started anew beyond, which costs time only.
+Shape at scale: one scan, no shuffle. The trie belongs to a task; beyond
+``MAX_NODES`` nodes it is started anew, which costs time only.
 
-Cases: null and empty texts count 0. Very long pre-tokens are read whole (work
-is linear in them); those over ``LONG`` bytes are not kept in the trie. Repeated
-rows get equal results; an empty table gives an empty result; extra columns are
+Cases: null and empty texts count 0. Very long pre-tokens are inserted whole
+like any other (work and nodes are linear in them). Repeated rows get equal results; an empty table gives an empty result; extra columns are
 ignored.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
 from math import log
 
 import public_tokenizers
@@ -33,14 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.bpe import read_ranks, vocabulary_path
-from tallyspark.llm.common import map_batches, table
+from tallyspark.llm.common import map_task, table
 from tallyspark.llm.pretokens import Memo, Splitter, cut
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 RANK_SHIFT = 10
 MAX_NODES = 2_000_000
 MAX_PIECES = 400_000
-LONG = 64
 
 
 class UnigramTrie:
@@ -84,24 +81,20 @@ class UnigramTrie:
             return stored
         if len(self.best) > MAX_NODES:
             self._reset()
-        keep = len(word) <= LONG
         node, best, tokens = 0, [0.0], [0]
         for end, byte in enumerate(word, 1):
             at = node << 8 | byte
-            nxt = self.child.get(at) if keep else None
-            if nxt is None:
+            node = self.child.get(at)
+            if node is None:
                 b, n = self._forward(word, end, best, tokens)
-                if keep:
-                    nxt = self.child[at] = len(self.best)
-                    self.best.append(b)
-                    self.tokens.append(n)
+                node = self.child[at] = len(self.best)
+                self.best.append(b)
+                self.tokens.append(n)
             else:
-                b, n = self.best[nxt], self.tokens[nxt]
+                b, n = self.best[node], self.tokens[node]
             best.append(b)
             tokens.append(n)
-            node = nxt
-        if keep:
-            self.terminals[word] = tokens[-1]
+        self.terminals[word] = tokens[-1]
         return tokens[-1]
 
 
@@ -127,22 +120,19 @@ class Counter:
         return divmod(self.first[pieces[0]] + sum(map(self.later.__getitem__, pieces[1:])), PRE)
 
 
-@lru_cache(2)
-def counter(path: str, pattern: str) -> Counter:
-    """One per worker process, kept between its tasks."""
-    return Counter(path, pattern)
-
-
 def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``doc_id, n_pretokens, n_tokens`` per row of ``docs``."""
-    def run(ids, texts):
-        own = counter(vocabulary_path(vocabulary), pattern)
-        found = [own.count((t or b"").decode("utf-8", "replace")) for t in texts]
-        return [ids, [a for a, _ in found], [b for _, b in found]]
-
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
-                       "doc_id long, n_pretokens long, n_tokens long",
-                       [("doc_id", pa.int64()), ("n_pretokens", pa.int64()), ("n_tokens", pa.int64())])
+    def make():
+        own = Counter(vocabulary_path(vocabulary), pattern)
+
+        def run(ids, texts):
+            found = [own.count((t or b"").decode("utf-8", "replace")) for t in texts]
+            return [ids, [a for a, _ in found], [b for _, b in found]]
+        return run
+
+    return map_task(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make,
+                    "doc_id long, n_pretokens long, n_tokens long",
+                    [("doc_id", pa.int64()), ("n_pretokens", pa.int64()), ("n_tokens", pa.int64())])
 
 
 def op1_token_counts(spark, sf_dir: str) -> DataFrame:
