@@ -19,13 +19,17 @@ not move a row per window:
 2. Where an anchor has several different runs, these are compared window by
    window (one row per window, one run of each kind), and counted.
 
+That equals counting every window: a window occurs again exactly if its anchor
+does, at the same place in it, and then either its whole run occurs again (step
+1) or it lies in two kinds of runs of that anchor (step 2).
+
 Rows that are counted are combined map-side. Joins on anchors, runs and windows
 read stored tables on both sides, so AQE splits the partition of a passage that
-a third of all documents share. A document's removals are gathered in one row
-(bounded by the document). Texts travel compressed, once to hash the windows of
+a third of all documents share. A document's removals are gathered in one row as a
+set, which rows with the same id and text share (bounded by the document). Texts travel compressed, once to hash the windows of
 step 2 and once for the removal.
 
-Cases: null and empty texts have no words; texts shorter than a window lose
+Cases: null and empty texts have no words; very long texts are read whole; texts shorter than a window lose
 nothing. Repeated rows are occurrences of their own: their windows repeat. A
 document is known by 128 bits of hash of its id and text, so null and repeated
 ids are safe. An empty table gives an empty result; extra columns are ignored.
@@ -163,7 +167,7 @@ def repeated_windows(keyed: DataFrame, length: int) -> DataFrame:
     stands = kinds.join(mixed_anchor, "a", "left_semi").select("a", "c", "least", (F.col("n") == 1).alias("single"))
     stands = stage(stands, "runs-stand")
     compare = (some.withColumn("least", row).join(stands, ["a", "c", "least"])
-               .groupBy("k1", "k2").agg(F.collect_list(F.struct("i1", "i2", "single")).alias("runs")))
+               .groupBy("k1", "k2").agg(F.collect_set(F.struct("i1", "i2", "single")).alias("runs")))
 
     def windows(k1, k2, texts, lists):
         _words.trim()
@@ -215,7 +219,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removal intervals ``[from, to)`` in words) and ``kept_text`` (the kept
     words joined by one space)."""
     keyed = _keyed(docs, id_col, text_col)
-    found = repeated_windows(keyed, length).groupBy("k1", "k2").agg(F.collect_list(F.struct("i1", "i2")).alias("runs"))
+    found = repeated_windows(keyed, length).groupBy("k1", "k2").agg(F.collect_set(F.struct("i1", "i2")).alias("runs"))
 
     def cut(ids, texts, lists):
         n, gone_n, spans, kept = [], [], [], []

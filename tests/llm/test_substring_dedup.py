@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -78,3 +79,16 @@ def test_texts_that_share_a_32_bit_hash(spark):
     assert same[0] == same[1]
     assert run(spark, rows[2:], 3) == brute(rows[2:], 3)
     assert run(spark, rows, 3) == brute(rows, 3)
+
+
+@pytest.mark.parametrize("id_", [7, None])
+def test_many_equal_rows(spark, id_):
+    """Thousands of rows with one id (or none) and one text: linear in them."""
+    rnd = random.Random(11)
+    text = " ".join(f"w{rnd.randrange(5000)}" for _ in range(600))
+    other = text.split()[100:180] + [f"v{i}" for i in range(50)]
+    rows = [(1, " ".join(other), "x", None), *[(id_, text, "x", None)] * 5000]
+    began = time.monotonic()
+    out = remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(8)).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert {tuple(r) for r in out} == {(1, 130, 80, 1), (id_, 600, 600, 5000)}
+    assert time.monotonic() - began < 90
