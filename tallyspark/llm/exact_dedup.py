@@ -27,8 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm.common import WHITE_SPACE, table
+from tallyspark.operators.joins import sized_broadcast
 from tallyspark.session import stage, unstage
 
+SMALL_GROUPS = 200_000  # groups that are broadcast (about 100 bytes each)
+
 
 def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), WHITE_SPACE, "")
@@ -80,20 +83,32 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` (all its columns) without copies: the row that stays of every
-    group, once even when that row is repeated."""
+    group, once even when that row is repeated.
+
+    What goes is decided on narrow stored tables. The groups are broadcast while
+    they are at most ``SMALL_GROUPS``, so that no text is shuffled; beyond, both
+    sides are shuffled by the hash. Only groups whose staying row is repeated
+    take a second look."""
     rows, groups = content_groups(docs, id_col, text_col)
-    unstage(rows)
+    # how often the staying row itself occurs
+    mine = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("len") == F.col("keep_len"))
+    kept = rows.join(groups, ["h", "sha"]).where(mine).groupBy("h", "sha", "keep_id", "keep_len").agg(F.count(F.lit(1)).alias("times"))
+    stays = stage(kept.select(F.col("h").alias("__h"), F.col("sha").alias("__sha"), F.col("keep_id").alias("__keep_id"),
+                              F.col("keep_len").alias("__keep_len"), (F.col("times") > 1).alias("__again")), "dedup-stays")
+    unstage(rows, groups)
     norm = normalised(F.col(text_col))
-    stays = groups.select(F.col("h").alias("__h"), F.col("sha").alias("__sha"),
-                          F.col("keep_id").alias("__keep_id"), F.col("keep_len").alias("__keep_len"))
     tagged = docs.withColumns({"__h": md5_128(norm), "__sha": F.unhex(F.sha2(norm, 256)),
                                "__len": F.length(F.coalesce(F.col(text_col), F.lit("")))})
-    # a hash join on the narrow side, so the texts are not sorted
-    out = tagged.join(stays.hint("shuffle_hash"), ["__h", "__sha"], "left")
-    single = out.where(F.col("__keep_len").isNull())
-    first = out.where(F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col("__len") == F.col("__keep_len")))
-    return single.select(*docs.columns).unionByName(
-        first.dropDuplicates(["__h", "__sha"]).select(*docs.columns))
+    side = sized_broadcast(stays, SMALL_GROUPS)
+    # otherwise a hash join on the narrow side, so the texts are not sorted
+    out = tagged.join(side if side is not stays else stays.hint("shuffle_hash"), ["__h", "__sha"], "left")
+    own = F.col(id_col).eqNullSafe(F.col("__keep_id")) & (F.col("__len") == F.col("__keep_len"))
+    left = out.where(F.col("__keep_len").isNull() | own)
+    if stays.where("__again").isEmpty():
+        return left.select(*docs.columns)
+    again = F.coalesce("__again", F.lit(False))
+    return left.where(~again).select(*docs.columns).unionByName(
+        left.where(again).dropDuplicates(["__h", "__sha"]).select(*docs.columns))
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -38,9 +38,11 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.common import map_batches, table
 from tallyspark.llm.components import connected_components
+from tallyspark.operators.joins import sized_broadcast
 from tallyspark.session import stage, unstage
 
 SEED = 42
+SMALL_KEYS = 200_000    # keys of dropped rows that are broadcast (about 50 bytes each)
 HOT = 8192          # distinct fingerprints of one key compared in one task
 SMALL = 32          # keys up to this size are compared by shifted arrays
 KEEP_PER_KEY = 4    # unrelated fingerprints a key may hold on average
@@ -256,8 +258,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     tagged = docs.withColumns({"__h1": h1, "__h2": h2})
     same = (F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__h1") == F.col("__g1"))
             & (F.col("__h2") == F.col("__g2")))
-    # a hash join on the narrow side, so the texts are not sorted
-    left = tagged.join(gone.hint("shuffle_hash"), same, "left_anti")
+    # a broadcast of few keys moves no text; otherwise a hash join on the narrow
+    # side, so the texts are not sorted
+    side = sized_broadcast(gone, SMALL_KEYS)
+    left = tagged.join(side if side is not gone else gone.hint("shuffle_hash"), same, "left_anti")
     if again.isEmpty():
         return left.select(*docs.columns)
     return left.join(again, same, "left_anti").unionByName(
