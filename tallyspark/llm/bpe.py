@@ -11,7 +11,7 @@ the input by a bounded number of bytes (members end within one longest token of
 each other). Each prefix has one encoding, so at the end one member is left.
 
 Pieces are the matches of the pre-token pattern; a piece that is itself a token
-is that token. Pieces' ids are kept in a bounded table per worker.
+is that token. What pieces encode to is kept in a bounded table per task.
 
 Decoding joins the tokens' bytes; ``Utf8Stream`` turns them into text piece by
 piece, its state being the bytes of an unfinished character.
@@ -28,20 +28,22 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import map_batches, table
+from tallyspark.llm.common import map_task, table
 from tallyspark.llm.pretokens import Memo, Splitter, cut
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MAX_STATES = 300_000    # sets of states kept before starting anew
-MAX_PAIRS = 600_000     # tested pairs of tokens kept before starting anew
-MAX_PIECES = 600_000    # cut pieces and words whose ids are kept before starting anew
+# cut pieces and words whose ids are kept before starting anew; a third as many sets of
+# states, two thirds as many tested pairs of tokens
+MAX_PIECES = 600_000
+TOKEN_BITS = 24
+TOKEN_MASK = (1 << TOKEN_BITS) - 1
 CHUNK = 1 << 14         # tokens decoded at a time
 
 
@@ -71,26 +73,40 @@ def halves(token: bytes, ranks: dict[bytes, int]) -> tuple[bytes, bytes] | None:
     return (parts[0], parts[1]) if len(parts) == 2 else None
 
 
-class Transducer:
-    """Encodes pieces of bytes; states are determinised when first met."""
+class Vocabulary:
+    """What depends on the vocabulary file only: its tokens, their byte trie
+    and the parts of their merges."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.digits = {i: str(i) for i in self.bytes_of}
+        # (node << 8 | byte) -> (node << TOKEN_BITS | 1 + the token that ends there, or 0)
+        if max(self.bytes_of) + 2 >> TOKEN_BITS:
+            raise ValueError("too many tokens")
         self.trie: dict[int, int] = {}
-        self.ends: dict[int, int] = {}
         n = 1
         for token, rank in ranks.items():
             node = 0
             for byte in token:
                 at = node << 8 | byte
-                node = self.trie.get(at, 0)
-                if not node:
-                    node = self.trie[at] = n
+                found = self.trie.get(at)
+                if found is None:
+                    found = self.trie[at] = n << TOKEN_BITS
                     n += 1
-            self.ends[node] = rank
-        self.edges: dict[int, tuple] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+                node = found >> TOKEN_BITS
+            self.trie[at] |= rank + 1
+        self.edges: dict[int, tuple] = {}  # filled when asked: at most one entry per token
+
+
+class Transducer:
+    """Encodes pieces of bytes; states are determinised when first met."""
+
+    def __init__(self, vocabulary: Vocabulary, kept: int = MAX_PIECES):
+        self.most_sets, self.most_pairs = kept // 3, kept * 2 // 3
+        self.ranks, self.bytes_of = vocabulary.ranks, vocabulary.bytes_of
+        self.trie, self.edges = vocabulary.trie, vocabulary.edges
+        self.pairs: dict[int, bool] = {}  # token before << TOKEN_BITS | token -> stable
         self._reset()
 
     def _reset(self) -> None:
@@ -101,9 +117,9 @@ class Transducer:
         self.finals: dict[int, tuple] = {}
 
     def trim(self) -> None:
-        if len(self.sets) > MAX_STATES:
+        if len(self.sets) > self.most_sets:
             self._reset()
-        if len(self.pairs) > MAX_PAIRS:
+        if len(self.pairs) > self.most_pairs:
             self.pairs.clear()
 
     def _spines(self, token: int) -> tuple:
@@ -129,9 +145,6 @@ class Transducer:
         ends = self._spines(token)
         if before < 0 or ends is None:
             return ends is not None
-        ok = self.pairs.get((before, token))
-        if ok is not None:
-            return ok
         left, right = self._spines(before)[1], ends[0]
         i = j = 0
         ok, get = True, self.ranks.get
@@ -149,28 +162,30 @@ class Transducer:
                 i += 1
             else:
                 j += 1
-        self.pairs[before, token] = ok
+        self.pairs[before << TOKEN_BITS | token] = ok
         return ok
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple]:
-        members, trie, ends, pairs = [], self.trie, self.ends, self.pairs
+        members, trie, stable = [], self.trie.get, self.pairs.get
         for before, node, pending in self.sets[state]:
-            node = trie.get(node << 8 | byte)
-            if node is None:
+            found = trie(node << 8 | byte)
+            if found is None:
                 continue
-            members.append((before, node, pending))
-            token = ends.get(node)
-            if token is not None:
-                ok = pairs.get((before, token))
+            token = found & TOKEN_MASK
+            members.append((before, found >> TOKEN_BITS, pending))
+            if token:
+                token -= 1
+                ok = stable(before << TOKEN_BITS | token)
                 if self._stable(before, token) if ok is None else ok:
-                    members.append((token, 0, pending + (token,)))
+                    members.append((token, 0, (*pending, token)))
         first = members[0][2]
         n = len(first)  # pending tokens on which all members agree
-        for _, _, p in members:
-            if p is not first and p[:n] != first[:n]:
-                n = next((i for i, (x, y) in enumerate(zip(p, first)) if x != y), min(n, len(p)))
-            if not n:
-                break
+        if n:
+            for _, _, p in members:
+                if p is not first and p[:n] != first[:n]:
+                    n = next((i for i, (x, y) in enumerate(zip(p, first)) if x != y), min(n, len(p)))
+                    if not n:
+                        break
         key = tuple((b, node, p[n:]) for b, node, p in members) if n else tuple(members)
         to = self.ids.get(key)
         if to is None:
@@ -214,32 +229,42 @@ class Transducer:
 
 
 class Tokenizer:
-    """Encoder and decoder of one vocabulary file."""
+    """Encoder and decoder of one vocabulary file. What a piece encodes to is
+    kept as ``(ids as decimal text, decoded bytes)``."""
 
-    def __init__(self, path: str, pattern: str, kept: int = MAX_PIECES):
-        self.transducer = Transducer(read_ranks(path))
-        self.digits = {i: str(i) for i in self.transducer.bytes_of}
+    def __init__(self, vocabulary: Vocabulary, pattern: str, kept: int = MAX_PIECES):
+        self.transducer = Transducer(vocabulary, kept)
+        self.digits = vocabulary.digits
         self.split = Splitter(pattern)
-        self.first = Memo(self._ids, "", kept // 16)
-        self.later = Memo(self._ids, " ", kept // 2)
-        self.words = Memo(lambda word: self.transducer.encode(word.encode()), "", kept // 2)
+        self.first = Memo(self._piece, "", kept // 16)
+        self.later = Memo(self._piece, " ", kept // 2)
+        self.words = Memo(self._word, "", kept // 2)
+
+    def _word(self, text: str) -> tuple[str, bytes]:
+        ids = self.transducer.encode(text.encode())
+        return ",".join([self.digits[i] for i in ids]), b"".join([self.transducer.bytes_of[i] for i in ids])
 
-    def _ids(self, text: str) -> tuple[int, ...]:
+    def _piece(self, text: str) -> tuple[str, bytes]:
         words = self.split(text)
         if len(words) == 1:
-            return self.transducer.encode(text.encode())  # kept as a piece already
-        return tuple(chain.from_iterable(map(self.words.__getitem__, words)))
+            return self._word(text)  # kept as a piece already
+        found = list(map(self.words.__getitem__, words))
+        return ",".join([a for a, _ in found]), b"".join([b for _, b in found])
 
-    def encode(self, text: str) -> list[int]:
-        """Token ids of a whole text."""
+    def both(self, text: str) -> tuple[str, list[bytes]]:
+        """``(ids joined by commas, decoded bytes of every piece)`` of a whole
+        text."""
         self.first.trim()
         self.later.trim()
         self.words.trim()
         self.transducer.trim()
         pieces = cut(text)
-        ids = list(self.first[pieces[0]])
-        ids.extend(chain.from_iterable(map(self.later.__getitem__, pieces[1:])))
-        return ids
+        found = [self.first[pieces[0]], *map(self.later.__getitem__, pieces[1:])]
+        return ",".join([a for a, _ in found]) if pieces[0] else ",".join([a for a, _ in found[1:]]), [b for _, b in found]
+
+    def encode(self, text: str) -> list[int]:
+        """Token ids of a whole text."""
+        return _ids(self.both(text)[0]).tolist()
 
     def decode_bytes(self, ids: list[int]) -> Iterator[bytes]:
         """The bytes of the ids, chunk by chunk."""
@@ -279,63 +304,80 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-@lru_cache(2)
+@lru_cache(1)
+def read_vocabulary(path: str) -> Vocabulary:
+    """One per worker process; its size is that of the vocabulary file. The
+    tokenizers' growing tables belong to a task and end with it."""
+    return Vocabulary(read_ranks(path))
+
+
 def tokenizer(path: str, pattern: str, kept: int = MAX_PIECES) -> Tokenizer:
-    """One per worker process, kept between its tasks."""
-    return Tokenizer(path, pattern, kept)
+    return Tokenizer(read_vocabulary(path), pattern, kept)
 
 
 def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _ids(text: str) -> np.ndarray:
+    return np.fromiter(map(int, text.split(",")) if text else (), np.int32)
+
+
+def _text(t: bytes | None) -> str:
+    return (t or b"").decode("utf-8", "replace")
+
+
 def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``doc_id, ids array<int>`` per row of ``docs``."""
-    def run(ids, texts):
+    def make():
         tok = tokenizer(vocabulary_path(vocabulary), pattern)
-        return [ids, [tok.encode((t or b"").decode("utf-8", "replace")) for t in texts]]
+        return lambda ids, texts: [ids, [_ids(tok.both(_text(t))[0]) for t in texts]]
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
-                       "doc_id long, ids array<int>", [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+    return map_task(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make,
+                    "doc_id long, ids array<int>", [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``doc_id, text`` from ``doc_id, ids``."""
-    def run(doc_ids, ids):
+    def make():
         tok = tokenizer(vocabulary_path(vocabulary), pattern)
-        return [doc_ids, ["".join(tok.decode(i or [])) for i in ids]]
+        return lambda doc_ids, ids: [doc_ids, ["".join(tok.decode(i or [])) for i in ids]]
 
-    return map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, text string",
-                       [("doc_id", pa.int64()), ("text", pa.string())])
+    return map_task(encoded.select("doc_id", "ids"), make, "doc_id long, text string",
+                    [("doc_id", pa.int64()), ("text", pa.string())])
 
 
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN,
                with_ids: bool = False, kept: int = MAX_PIECES) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_tokens, ids_sha256, decoded_sha256,
     round_trip`` (the streamed text equals the input) and, if asked for,
-    ``ids array<int>``. ``kept`` bounds the table of pieces of a worker; it
-    changes memory and time only."""
-    def run(ids, texts):
+    ``ids array<int>``. ``kept`` bounds the tables of a task; it changes
+    memory and time only."""
+    def make():
         tok = tokenizer(vocabulary_path(vocabulary), pattern, kept)
-        n, a, b, same, every = [], [], [], [], []
-        for t in texts:
-            text = (t or b"").decode("utf-8", "replace")
-            found = tok.encode(text)
-            n.append(len(found))
-            a.append(hashlib.sha256(",".join(map(tok.digits.__getitem__, found)).encode()).hexdigest())
-            digest, stream, out = hashlib.sha256(), Utf8Stream(), []
-            for data in tok.decode_bytes(found):
-                digest.update(data)
-                out.append(stream.feed(data))
-            out.append(stream.end())
-            b.append(digest.hexdigest())
-            same.append("".join(out) == text)
-            if with_ids:
-                every.append(pa.array(found, pa.int32()))
-        return [ids, n, a, b, same, *([every] if with_ids else [])]
-
-    return map_batches(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
+
+        def run(ids, texts):
+            n, a, b, same, every = [], [], [], [], []
+            for t in texts:
+                text = _text(t)
+                joined, pieces = tok.both(text)
+                n.append(joined.count(",") + 1 if joined else 0)
+                a.append(hashlib.sha256(joined.encode()).hexdigest())
+                digest, stream, out = hashlib.sha256(), Utf8Stream(), []
+                for i in range(0, len(pieces), CHUNK):
+                    data = b"".join(pieces[i:i + CHUNK])
+                    digest.update(data)
+                    out.append(stream.feed(data))
+                out.append(stream.end())
+                b.append(digest.hexdigest())
+                same.append("".join(out) == text)
+                if with_ids:
+                    every.append(pa.array(_ids(joined), pa.int32()))
+            return [ids, n, a, b, same, *([every] if with_ids else [])]
+        return run
+
+    return map_task(
+        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make,
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean"
         + (", ids array<int>" if with_ids else ""),
         [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),

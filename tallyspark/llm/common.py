@@ -47,6 +47,7 @@ def map_batches(df: DataFrame, fn: Callable[..., list], schema: str, arrow_types
                 schema=out_schema)
             if last:
                 pa.default_memory_pool().release_unused()
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -100,6 +101,7 @@ def filter_batches(df: DataFrame, column: str, keep: Callable[[bytes | None], bo
                 texts = part.column(at).cast(pa.large_binary()).to_pylist()
                 yield part.filter(pa.array([keep(t) for t in texts], pa.bool_()))
             pa.default_memory_pool().release_unused()
+        give_back()
 
     return df.mapInArrow(run, df.schema)
 

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import gc
+import math
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, exact_dedup, language_id, simhash, source_mix, token_counts, toxicity, url_filter
+from tallyspark.llm import bpe, exact_dedup, language_id, piece_bpe, simhash, source_mix, token_counts, toxicity, url_filter
+from tallyspark.llm.pretokens import Splitter
 
 ROWS = [(1, "a b c d e", "s"), (2, " a  b c\nd e", "s"), (3, None, None), (4, "", "t"), (5, "abcde", "t"),
         (6, "x y", None), (6, "x y", None), (None, "a b c d e f", "s"), (7, "Ünï 1,2 \U0003f764눭 don't\n\n end ", "u")]
@@ -32,6 +36,17 @@ def test_exact_dedup(spark):
     assert exact_dedup.exact_dedup(frame(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("small", [200_000, 0])
+def test_drop_copies_of_repeated_rows(spark, monkeypatch, small):
+    monkeypatch.setattr(exact_dedup, "SMALL_GROUPS", small)
+    if not small:
+        monkeypatch.setattr(exact_dedup, "sized_broadcast", lambda df, rows: df)
+    rows = [(1, "a b", "s"), (1, "a b", "s"), (1, "a  b", "t"), (None, "c", "s"), (None, "c", "s"), (2, "ab", "s"), (3, "d", "s"), (3, "e", "s")]
+    kept = exact_dedup.drop_copies(frame(spark, rows)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == [("1", "a  b"), ("3", "d"), ("3", "e"), ("None", "c")]
+    assert exact_dedup.drop_copies(frame(spark, [])).collect() == []
+
+
 def _fingerprint(text):
     words = (text or "").encode().lower().split()
     grams = [b" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
@@ -101,7 +116,7 @@ def test_bpe_and_counts(spark):
         stream = bpe.Utf8Stream()
         assert "".join(stream.feed(bytes([b])) for b in text.encode()) + stream.end() == text
     score = token_counts.UnigramTrie(ranks).score
-    own = token_counts.counter(public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)
+    own = token_counts.Counter(public_tokenizers.path(bpe.VOCABULARY), public_tokenizers.PATTERN)
     for word in ["hello", " world", "ngthnd", "Ünï", "aaaaaaaa"]:
         w = word.encode()
         best = [(0.0, 0)] + [None] * len(w)
@@ -110,6 +125,48 @@ def test_bpe_and_counts(spark):
         assert own.trie.count(w) == -best[-1][1]
 
 
+def test_counts_of_documents(spark):
+    """Whole texts against a plain segmentation, pre-tokens of any length."""
+    ranks = bpe.read_ranks(public_tokenizers.path(bpe.VOCABULARY))
+    score = {p: -math.log(r + token_counts.RANK_SHIFT) for p, r in ranks.items()}
+    longest = max(map(len, score))
+
+    def plain(word):
+        best = [(0.0, 0)]
+        for e in range(1, len(word) + 1):
+            best.append(max((best[s][0] + score[word[s:e]], best[s][1] - 1)
+                            for s in range(max(0, e - longest), e) if word[s:e] in score))
+        return -best[-1][1]
+
+    rnd = random.Random(9)
+    texts = [None, "", "x", "x", "a" * 65, "".join(rnd.choice("abcdefgh") for _ in range(70)) + " end " + "z" * 64,
+             "Ünï " * 30 + "\n\n 12345 don't", "".join(rnd.choice("etaoin") for _ in range(3000))]
+    out = token_counts.token_counts(frame(spark, [(i if i != 2 else None, t, "s") for i, t in enumerate(texts)])).collect()
+    got = sorted((r.n_pretokens, r.n_tokens) for r in out)
+    split = Splitter(public_tokenizers.PATTERN)
+    assert got == sorted((len(w := split(t or "")), sum(plain(x.encode()) for x in w)) for t in texts)
+    big = token_counts.token_counts(frame(spark, [(1, "q" * 200_000, "s"), (2, "ab" * 100_000 + " z", "s")])).collect()
+    assert {r.doc_id: r.n_pretokens for r in big} == {1: 1, 2: 2} and all(r.n_tokens > 20_000 for r in big)
+    assert token_counts.token_counts(frame(spark, [])).collect() == []
+
+
+def test_tables_of_a_worker_end_with_its_task(spark):
+    """What a task's tokenizer has learned is not there for the next task of
+    the same worker process."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.md5(F.col("id").cast("string")), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    for read in (bpe.round_trip, token_counts.token_counts, piece_bpe.round_trip):
+        assert read(docs).count() == 400
+
+    def held(batches):
+        gc.collect()
+        kinds = (bpe.Tokenizer, bpe.Transducer, token_counts.Counter, piece_bpe.Encoder)
+        n = sum(isinstance(o, kinds) for o in gc.get_objects())
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
+
+    assert {r.n for r in spark.range(8).repartition(8).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_language_codes():
     code = language_id.codewords(4)
     assert code.shape == (4, 7) and min((code[i] != code[j]).sum() for i in range(4) for j in range(i)) == 4
