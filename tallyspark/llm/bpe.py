@@ -39,9 +39,9 @@ from tallyspark.llm.common import map_task, table
 from tallyspark.llm.pretokens import Memo, Splitter, cut
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-# cut pieces and words whose ids are kept before starting anew; a third as many sets of
-# states, two thirds as many tested pairs of tokens
-MAX_PIECES = 600_000
+MAX_STATES = 200_000    # sets of states kept before starting anew
+MAX_PAIRS = 400_000     # tested pairs of tokens kept before starting anew
+MAX_PIECES = 600_000    # cut pieces and words whose ids are kept before starting anew
 TOKEN_BITS = 24
 TOKEN_MASK = (1 << TOKEN_BITS) - 1
 CHUNK = 1 << 14         # tokens decoded at a time
@@ -102,8 +102,7 @@ class Vocabulary:
 class Transducer:
     """Encodes pieces of bytes; states are determinised when first met."""
 
-    def __init__(self, vocabulary: Vocabulary, kept: int = MAX_PIECES):
-        self.most_sets, self.most_pairs = kept // 3, kept * 2 // 3
+    def __init__(self, vocabulary: Vocabulary):
         self.ranks, self.bytes_of = vocabulary.ranks, vocabulary.bytes_of
         self.trie, self.edges = vocabulary.trie, vocabulary.edges
         self.pairs: dict[int, bool] = {}  # token before << TOKEN_BITS | token -> stable
@@ -117,9 +116,9 @@ class Transducer:
         self.finals: dict[int, tuple] = {}
 
     def trim(self) -> None:
-        if len(self.sets) > self.most_sets:
+        if len(self.sets) > MAX_STATES:
             self._reset()
-        if len(self.pairs) > self.most_pairs:
+        if len(self.pairs) > MAX_PAIRS:
             self.pairs.clear()
 
     def _spines(self, token: int) -> tuple:
@@ -233,7 +232,7 @@ class Tokenizer:
     kept as ``(ids as decimal text, decoded bytes)``."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str, kept: int = MAX_PIECES):
-        self.transducer = Transducer(vocabulary, kept)
+        self.transducer = Transducer(vocabulary)
         self.digits = vocabulary.digits
         self.split = Splitter(pattern)
         self.first = Memo(self._piece, "", kept // 16)
@@ -351,8 +350,8 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = pub
                with_ids: bool = False, kept: int = MAX_PIECES) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_tokens, ids_sha256, decoded_sha256,
     round_trip`` (the streamed text equals the input) and, if asked for,
-    ``ids array<int>``. ``kept`` bounds the tables of a task; it changes
-    memory and time only."""
+    ``ids array<int>``. ``kept`` bounds the table of pieces of a task; it
+    changes memory and time only."""
     def make():
         tok = tokenizer(vocabulary_path(vocabulary), pattern, kept)
 
