@@ -357,6 +357,34 @@ SELECT * REPLACE (CASE WHEN right(timeid, 2) <= '06' THEN create_ts ELSE 'second
 FROM r
 """
 
+# One row per period, suite, line of business and metric (its id, or its label
+# where it has none): the latest report year's, then this year's section, then
+# the report that is last by name and its lower line.
+REPORT_LOAD_TWICE = _report_rows("Month") + f""",
+seen AS (SELECT v.*, row_number() OVER (PARTITION BY v.c_custkey, v.ry, v.kind, v.slot ORDER BY v.c_mktsegment, v.prio, v.st) AS line
+         FROM vals v),
+best AS (SELECT * FROM seen QUALIFY row_number() OVER (
+           PARTITION BY timeid, rsid, lob, CASE WHEN metric_id <> '0' THEN 'id|' || metric_id
+                                               ELSE 'label|web|' || lower(prio) || '|' || lower(category) || '|orders' END
+           ORDER BY ry DESC, kind = 'month_this' DESC, c_custkey || '-' || ry DESC, line DESC) = 1)
+SELECT cal.timelvl, cal.timelvlnm, v.timeid, cal.timeidnm, v.rsid AS rpt_suite_id, v.rs_name AS rpt_suite_nm,
+       'web' AS channel, v.lob, v.prio AS product, 'Site Activity' AS category_type, v.category,
+       '' AS sgm_cd, '' AS sgm_desc, '' AS seg_cd, '' AS seg_desc, 'Orders' AS metric_name, v.metric_value,
+       '' AS metric_format, '' AS page_url, '' AS data_src, '{RUN_TS}' AS create_ts, '{RUN_TS}' AS update_ts,
+       v.metric_id
+FROM best v JOIN cal ON v.timeid = cal.timeid
+"""
+
+UPSERT_ADDED_COLUMNS = f"""
+WITH r AS (SELECT timeid, lob, product AS metric_id, metric_name, count(*) AS n FROM ({FINAL_LAYOUT}) GROUP BY ALL)
+SELECT timeid, lob, metric_id, metric_name, n::VARCHAR AS metric_value,
+       CASE WHEN right(timeid, 2) <= '06' THEN '{RUN_TS}' ELSE 'second' END AS create_ts,
+       CASE WHEN right(timeid, 2) <= '06' THEN 'second' ELSE '{RUN_TS}' END AS update_ts,
+       CASE WHEN right(timeid, 2) <= '06' THEN 'note ' || metric_id END AS region_note,
+       CASE WHEN right(timeid, 2) <= '06' THEN NULL ELSE n % 7 END AS orders_rank
+FROM r
+"""
+
 # The this-year month table of each report, computed from the orders: one
 # row per (report, priority, status) of its two years; months
 # without orders are empty cells (NULL).
@@ -412,6 +440,8 @@ ORACLES = {
     "load_audit": LOAD_AUDIT,
     "load_rejects": LOAD_REJECTS,
     "upsert_path": UPSERT_PATH,
+    "report_load_twice": REPORT_LOAD_TWICE,
+    "upsert_added_columns": UPSERT_ADDED_COLUMNS,
     "write_append": f"SELECT * FROM ({FINAL_LAYOUT}) UNION ALL SELECT * FROM ({FINAL_LAYOUT})",
     "write_overwrite": FINAL_LAYOUT,
     "register_table": FINAL_LAYOUT,

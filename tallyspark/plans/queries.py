@@ -565,6 +565,36 @@ def upsert_path(spark, d):
     return _read_final(spark, path)
 
 
+def report_load_twice(spark, d):
+    """The month load of all reports, the latest report's rows, written by
+    upsert twice: the second run, under another run time, changes nothing."""
+    path = _scratch(spark)
+    rows = stage(_report_load(spark, d, LEVEL_MONTH).latest(), "latest-rows")
+    sink.write(spark, rows, path, "upsert", RUN_TS)
+    sink.write(spark, rows.withColumns({"create_ts": F.lit("second"), "update_ts": F.lit("second")}), path, "upsert", "second")
+    return _read_final(spark, path)
+
+
+def upsert_added_columns(spark, d):
+    """A table gets a column that later rows lack, and the other way round: the
+    first half year is written with a note, all months are upserted without it
+    and with a rank of their own, then the table is read with all its columns."""
+    path = _scratch(spark)
+    rows = stage(final_layout(spark, d).groupBy("timeid", "lob", "product", "metric_name")
+                 .agg(F.count(F.lit(1)).alias("n"))
+                 .select("timeid", "lob", F.col("product").alias("metric_id"), "metric_name",
+                         F.col("n").cast("string").alias("metric_value"), F.lit(RUN_TS).alias("create_ts"),
+                         F.lit(RUN_TS).alias("update_ts"), "n"), "run")
+    early = rows.where(F.right("timeid", F.lit(2)) <= "06")
+    first = early.select("timeid", "lob", "metric_id", "metric_name", F.lit("0").alias("metric_value"), "create_ts", "update_ts",
+                         F.concat(F.lit("note "), "metric_id").alias("region_note"))
+    second = rows.withColumn("orders_rank", F.col("n") % 7).drop("n").withColumn("create_ts", F.lit("second"))
+    sink.append(first, path)
+    sink.write(spark, second, path, "upsert", "second")
+    return sink.read_target(spark, path).select(
+        "timeid", "lob", "metric_id", "metric_name", "metric_value", "create_ts", "update_ts", "region_note", "orders_rank")
+
+
 def _registered(spark, d) -> str:
     path = _scratch(spark)
     rows = final_layout(spark, d)
@@ -630,6 +660,8 @@ QUERIES = {
     "load_audit": load_audit,
     "load_rejects": load_rejects,
     "upsert_path": upsert_path,
+    "report_load_twice": report_load_twice,
+    "upsert_added_columns": upsert_added_columns,
     "write_append": write_append,
     "write_overwrite": write_overwrite,
     "register_table": register_table,

@@ -11,7 +11,7 @@ def test_contract(spark):
     assert set(sqls) <= set(qs)
     own = {q for q in qs if not q.startswith("op") and q != "pipeline"}
     assert own - set(sqls) == {"publish_comments", "add_columns"}
-    assert len(own) == 30
+    assert len(own) == 32
     df = entry.entry(spark)
     assert df.columns == FINAL_COLS
     assert df.count() > 0
