@@ -11,7 +11,7 @@ the input by a bounded number of bytes (members end within one longest token of
 each other). Each prefix has one encoding, so at the end one member is left.
 
 Pieces are the matches of the pre-token pattern; a piece that is itself a token
-is that token. What pieces encode to is kept in a bounded table per task.
+is that token. What pieces encode to is kept in a bounded table per worker and stage.
 
 Decoding joins the tokens' bytes; ``Utf8Stream`` turns them into text piece by
 piece, its state being the bytes of an unfinished character.
@@ -25,7 +25,9 @@ decode to U+FFFD.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -35,11 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import map_task, table
+from tallyspark.llm.common import map_task, shared, table
 from tallyspark.llm.pretokens import Memo, Splitter, cut
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MAX_STATES = 200_000    # sets of states kept before starting anew
+MAX_STATES = 400_000    # sets of states kept before starting anew
 MAX_PAIRS = 400_000     # tested pairs of tokens kept before starting anew
 MAX_PIECES = 600_000    # cut pieces and words whose ids are kept before starting anew
 TOKEN_BITS = 24
@@ -109,10 +111,13 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        start = ((-1, 0, ()),)
-        self.ids: dict[tuple, int] = {start: 0}
-        self.sets: list[tuple] = [start]
-        self.steps: dict[int, tuple[int, tuple]] = {}
+        # a set of states is kept packed: (before, node, length, pending...) of every member
+        start = np.array([-1, 0, 0], np.int32).tobytes()
+        self.ids: dict[bytes, int] = {start: 0}
+        self.sets: list[bytes] = [start]
+        # state << 8 | byte -> next state, or ~index in ``emits`` if tokens become certain
+        self.steps: dict[int, int] = {}
+        self.emits: list[tuple[int, tuple]] = []
         self.finals: dict[int, tuple] = {}
 
     def trim(self) -> None:
@@ -164,9 +169,17 @@ class Transducer:
         self.pairs[before << TOKEN_BITS | token] = ok
         return ok
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple]:
+    def _members(self, state: int) -> Iterator[tuple[int, int, tuple]]:
+        flat = memoryview(self.sets[state]).cast("i").tolist()
+        i, end = 0, len(flat)
+        while i < end:
+            to = i + 3 + flat[i + 2]
+            yield flat[i], flat[i + 1], tuple(flat[i + 3:to])
+            i = to
+
+    def _step(self, state: int, byte: int) -> int:
         members, trie, stable = [], self.trie.get, self.pairs.get
-        for before, node, pending in self.sets[state]:
+        for before, node, pending in self._members(state):
             found = trie(node << 8 | byte)
             if found is None:
                 continue
@@ -185,16 +198,22 @@ class Transducer:
                     n = next((i for i, (x, y) in enumerate(zip(p, first)) if x != y), min(n, len(p)))
                     if not n:
                         break
-        key = tuple((b, node, p[n:]) for b, node, p in members) if n else tuple(members)
+        flat = []
+        for b, node, p in members:
+            flat += (b, node, len(p) - n, *p[n:])
+        key = array("i", flat).tobytes()
         to = self.ids.get(key)
         if to is None:
             to = self.ids[key] = len(self.sets)
             self.sets.append(key)
-        out = self.steps[state << 8 | byte] = (to, first[:n])
-        return out
+        if n:
+            self.emits.append((to, first[:n]))
+            to = ~(len(self.emits) - 1)
+        self.steps[state << 8 | byte] = to
+        return to
 
     def _final(self, state: int) -> tuple:
-        ends = [p for _, node, p in self.sets[state] if node == 0]
+        ends = [p for _, node, p in self._members(state) if node == 0]
         if len(ends) != 1:
             raise ValueError("the vocabulary lacks a byte of this text")
         self.finals[state] = ends[0]
@@ -204,9 +223,11 @@ class Transducer:
         """Token ids of one piece, each as soon as it is certain."""
         state, steps = 0, self.steps
         for byte in data:
-            step = steps.get(state << 8 | byte) or self._step(state, byte)
-            state = step[0]
-            yield from step[1]
+            at = state << 8 | byte
+            state = steps[at] if at in steps else self._step(state, byte)
+            if state < 0:
+                state, certain = self.emits[~state]
+                yield from certain
         last = self.finals.get(state)
         yield from self._final(state) if last is None else last
 
@@ -214,14 +235,15 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return (whole,)
-        state, get, out = 0, self.steps.get, []
+        state, get, emits, out = 0, self.steps.get, self.emits, []
         for byte in piece:
             step = get(state << 8 | byte)
             if step is None:
                 step = self._step(state, byte)
-            state, certain = step
-            if certain:
+            if step < 0:
+                step, certain = emits[~step]
                 out += certain
+            state = step
         last = self.finals.get(state)
         out += self._final(state) if last is None else last
         return tuple(out)
@@ -306,12 +328,13 @@ class Utf8Stream:
 @lru_cache(1)
 def read_vocabulary(path: str) -> Vocabulary:
     """One per worker process; its size is that of the vocabulary file. The
-    tokenizers' growing tables belong to a task and end with it."""
+    tokenizers' growing tables belong to a stage and end with it."""
     return Vocabulary(read_ranks(path))
 
 
 def tokenizer(path: str, pattern: str, kept: int = MAX_PIECES) -> Tokenizer:
-    return Tokenizer(read_vocabulary(path), pattern, kept)
+    """One per worker and stage, so that its tasks meet each state once."""
+    return shared((path, pattern, kept), lambda: Tokenizer(read_vocabulary(path), pattern, kept))
 
 
 def vocabulary_path(name: str) -> str:
@@ -350,12 +373,21 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = pub
                with_ids: bool = False, kept: int = MAX_PIECES) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_tokens, ids_sha256, decoded_sha256,
     round_trip`` (the streamed text equals the input) and, if asked for,
-    ``ids array<int>``. ``kept`` bounds the table of pieces of a task; it
+    ``ids array<int>``. ``kept`` bounds the table of pieces of a worker; it
     changes memory and time only."""
     def make():
         tok = tokenizer(vocabulary_path(vocabulary), pattern, kept)
 
         def run(ids, texts):
+            # the tables hold no cycles, and walking them again and again
+            # takes a third of the time
+            gc.disable()
+            try:
+                return measure(ids, texts)
+            finally:
+                gc.enable()
+
+        def measure(ids, texts):
             n, a, b, same, every = [], [], [], [], []
             for t in texts:
                 text = _text(t)

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ def map_batches(df: DataFrame, fn: Callable[..., list], schema: str, arrow_types
     out_schema = pa.schema(arrow_types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_shared()
         for batch, last in ((b.slice(i, ROWS), i + ROWS >= b.num_rows) for b in batches
                             for i in range(0, b.num_rows, ROWS)):
             cols = []
@@ -57,10 +59,12 @@ def map_task(df: DataFrame, make: Callable[[], Callable[..., list]], schema: str
     """``map_batches`` with a state per task: ``make()`` gives the function
     when a task starts, and what it holds (vocabularies, tables of words) is
     given back to the system when the task ends, so that it does not lie beside
-    the next stage in a reused worker."""
+    the next stage in a reused worker. What ``make`` takes from ``shared`` lives
+    as long as the worker runs tasks of that stage."""
     out_schema = pa.schema(arrow_types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_shared()
         fn = make()
         try:
             for batch in batches:
@@ -81,8 +85,33 @@ def map_task(df: DataFrame, make: Callable[[], Callable[..., list]], schema: str
     return df.mapInArrow(run, schema)
 
 
+_SHARED: dict = {}  # stage -> {key: what its tasks share in this worker}
+
+
+def _stage_id() -> int:
+    task = TaskContext.get()
+    return task.stageId() if task else -1
+
+
+def shared(key, make: Callable):
+    """``make()``, kept in this worker for the tasks of the running stage. Its
+    size must have a bound; the first task of another stage drops it."""
+    own = _SHARED.setdefault(_stage_id(), {})
+    if key not in own:
+        own[key] = make()
+    return own[key]
+
+
+def drop_shared() -> None:
+    """Drops what tasks of other stages have left in this worker."""
+    here = _stage_id()
+    for other in [s for s in _SHARED if s != here]:
+        del _SHARED[other]
+
+
 def give_back() -> None:
     """Returns a worker's free memory to the system."""
+    drop_shared()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -96,6 +125,7 @@ def filter_batches(df: DataFrame, column: str, keep: Callable[[bytes | None], bo
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_shared()
         for batch in batches:
             for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
                 texts = part.column(at).cast(pa.large_binary()).to_pylist()
