@@ -43,7 +43,7 @@ from tallyspark.llm.pretokens import Memo, Splitter, cut
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_STATES = 400_000    # sets of states kept before starting anew
 MAX_PAIRS = 400_000     # tested pairs of tokens kept before starting anew
-MAX_PIECES = 600_000    # cut pieces and words whose ids are kept before starting anew
+MAX_PIECES = 900_000    # cut pieces and words whose ids are kept before starting anew
 TOKEN_BITS = 24
 TOKEN_MASK = (1 << TOKEN_BITS) - 1
 CHUNK = 1 << 14         # tokens decoded at a time
@@ -169,20 +169,17 @@ class Transducer:
         self.pairs[before << TOKEN_BITS | token] = ok
         return ok
 
-    def _members(self, state: int) -> Iterator[tuple[int, int, tuple]]:
-        flat = memoryview(self.sets[state]).cast("i").tolist()
-        i, end = 0, len(flat)
-        while i < end:
-            to = i + 3 + flat[i + 2]
-            yield flat[i], flat[i + 1], tuple(flat[i + 3:to])
-            i = to
-
     def _step(self, state: int, byte: int) -> int:
         members, trie, stable = [], self.trie.get, self.pairs.get
-        for before, node, pending in self._members(state):
-            found = trie(node << 8 | byte)
+        flat = memoryview(self.sets[state]).cast("i").tolist()
+        to, end = 0, len(flat)
+        while to < end:
+            at = to
+            to += 3 + flat[at + 2]
+            found = trie(flat[at + 1] << 8 | byte)
             if found is None:
                 continue
+            before, pending = flat[at], tuple(flat[at + 3:to])
             token = found & TOKEN_MASK
             members.append((before, found >> TOKEN_BITS, pending))
             if token:
@@ -213,7 +210,12 @@ class Transducer:
         return to
 
     def _final(self, state: int) -> tuple:
-        ends = [p for _, node, p in self._members(state) if node == 0]
+        flat, ends, at = memoryview(self.sets[state]).cast("i").tolist(), [], 0
+        while at < len(flat):
+            to = at + 3 + flat[at + 2]
+            if flat[at + 1] == 0:
+                ends.append(tuple(flat[at + 3:to]))
+            at = to
         if len(ends) != 1:
             raise ValueError("the vocabulary lacks a byte of this text")
         self.finals[state] = ends[0]
@@ -263,7 +265,9 @@ class Tokenizer:
 
     def _word(self, text: str) -> tuple[str, bytes]:
         ids = self.transducer.encode(text.encode())
-        return ",".join([self.digits[i] for i in ids]), b"".join([self.transducer.bytes_of[i] for i in ids])
+        if len(ids) == 1:
+            return self.digits[ids[0]], self.transducer.bytes_of[ids[0]]
+        return ",".join(map(self.digits.__getitem__, ids)), b"".join(map(self.transducer.bytes_of.__getitem__, ids))
 
     def _piece(self, text: str) -> tuple[str, bytes]:
         words = self.split(text)

@@ -110,9 +110,11 @@ def drop_shared() -> None:
 
 
 def give_back() -> None:
-    """Returns a worker's free memory to the system."""
+    """Returns a worker's free memory to the system; while the stage's tasks
+    share tables there is little to look for, and looking is slow."""
     drop_shared()
-    gc.collect()
+    if not _SHARED:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
