@@ -105,8 +105,11 @@ def shared(key, make: Callable):
 def drop_shared() -> None:
     """Drops what tasks of other stages have left in this worker."""
     here = _stage_id()
-    for other in [s for s in _SHARED if s != here]:
+    left = [s for s in _SHARED if s != here]
+    for other in left:
         del _SHARED[other]
+    if left:
+        gc.collect()  # tables and what fills them refer to each other
 
 
 def give_back() -> None:

@@ -150,15 +150,14 @@ def test_counts_of_documents(spark):
     assert token_counts.token_counts(frame(spark, [])).collect() == []
 
 
-def test_tables_of_a_worker_end_with_its_task(spark):
-    """What a task's tokenizer has learned is not there for the next task of
-    the same worker process."""
+def test_tables_of_a_worker_end_with_their_stage(spark):
+    """What a stage's tokenizers have learned is given up by the next stage's
+    tasks in the same worker process, without a collection of their own."""
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.md5(F.col("id").cast("string")), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
     for read in (bpe.round_trip, token_counts.token_counts, piece_bpe.round_trip):
         assert read(docs).count() == 400
 
     def held(batches):
-        gc.collect()
         kinds = (bpe.Tokenizer, bpe.Transducer, token_counts.Counter, piece_bpe.Encoder)
         n = sum(isinstance(o, kinds) for o in gc.get_objects())
         for batch in batches:
