@@ -92,4 +92,5 @@ R_NO_SUITE = "suite_unknown"         # suite name missing or not in the catalogu
 R_BAD_VALUE = "value_not_numeric"    # a value is neither numeric nor missing
 R_NO_SECTION = "section_missing"     # a section needed by the level is absent
 R_NO_TIME = "timeid_not_in_calendar" # period absent from the time dimension
+R_EMPTY = "empty_report"           # the file has no header, separator or preamble line
 R_QUOTE = "unbalanced_quote"         # a quoted field spans lines
