@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.constants import DEFAULT_METRIC_ID, TIME_COLS
+from tallyspark.constants import DEFAULT_METRIC_ID, METRIC_MARK, TIME_COLS
 from tallyspark.operators.joins import first_by
 
 
@@ -51,6 +51,31 @@ def with_description(df: DataFrame, name: Column, descs: DataFrame) -> DataFrame
             .drop("__desc_key", "desc_name"))
 
 
+def first_cell(line: Column) -> Column:
+    """The first cell of an unquoted line, straight from its text; NULL for a
+    line that must be parsed to tell."""
+    return F.when(~F.startswith(line, F.lit('"')), F.substring_index(line, ",", 1))
+
+
+def maybe_metric_lines(lines: DataFrame, descs: DataFrame) -> DataFrame:
+    """Lines ``(.., line)`` that may be metric rows where these are known by a
+    name of the mapping too: tested before any cell is parsed."""
+    line = F.col("line")
+    named = with_description(lines, first_cell(line), descs.withColumn("__named", F.lit(True)))
+    may = line.contains(METRIC_MARK) | F.startswith(line, F.lit('"')) | F.coalesce("__named", F.lit(False))
+    return named.where(may).select(*lines.columns)
+
+
+def with_label_text(body: DataFrame, descs: DataFrame) -> DataFrame:
+    """Rows whose ``col1`` is a delimited label or a name of the mapping, with
+    ``label_text``: the label, or the description that stands for the name
+    (empty where it has none)."""
+    piped = F.col("col1").contains(METRIC_MARK)
+    named = with_description(body, F.when(~piped, F.col("col1")), descs.withColumn("__named", F.lit(True)))
+    text = F.when(piped, F.col("col1")).otherwise(F.coalesce("description", F.lit("")))
+    return named.where(piped | F.col("__named")).withColumn("label_text", text).drop("__named", "description")
+
+
 def time_level(time_dim: DataFrame, level: str) -> DataFrame:
     """Calendar rows of one level (filter reaches the scan)."""
     return (time_dim.where(F.col("timelvlnm") == level)

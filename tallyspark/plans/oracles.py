@@ -333,6 +333,33 @@ FROM vals v JOIN cal ON v.timeid = cal.timeid
 """
 
 
+# Same rows, the metric named as its cell spells it; no such label is mapped.
+LOAD_QUOTES = _report_load("Month").replace(
+    "'Orders' AS metric_name", "CASE v.st WHEN 'F' THEN 'Or' || chr(10) || 'ders \"all\"' WHEN 'O' THEN 'Ord\"ers' "
+    "ELSE 'Orders, net' END AS metric_name").replace("v.metric_id\nFROM", "'0' AS metric_id\nFROM")
+
+# Open orders have ids of their own, pending ones no name in the mapping.
+LOAD_DESCRIPTION = _report_load("Month").replace(
+    "v.metric_id\nFROM", "CASE WHEN v.st = 'O' THEN 'd' || v.metric_id ELSE v.metric_id END AS metric_id\nFROM"
+) + "WHERE v.st <> 'P'\n"
+
+# A report is one suite's, per 10,000 customers and year; nations 1, 2, 3 and 5
+# have no date, a misspelt header, an open quote, blank lines only.
+LOAD_REJECT_REASONS = _report_rows("Month", gaps=True) + """,
+named AS (SELECT c_custkey, ry, n_nationkey AS nat, n_nationkey || '-' || CASE WHEN c_acctbal < 0 THEN lower(c_mktsegment) ELSE 'all' END
+                 || '-' || c_custkey // 10000 || '-' || ry AS report_id FROM rep),
+refused AS (SELECT DISTINCT report_id, nat, CASE nat WHEN 3 THEN 'unbalanced_quote' WHEN 5 THEN 'empty_report' WHEN 1 THEN 'no_year'
+              ELSE CASE WHEN nat NOT IN (SELECT n_nationkey FROM nr) THEN 'suite_unknown' WHEN nat = 2 THEN 'section_missing' END END AS reason
+            FROM named),
+tagged AS (SELECT n.report_id, v.timeid, CASE WHEN v.st = 'P' THEN 'label_parts'
+             WHEN v.prio = '5-LOW' AND v.kind = 'month_this' AND v.slot = 1 AND v.metric_value <> 'nan' THEN 'value_not_numeric'
+             WHEN NOT EXISTS (SELECT 1 FROM cal WHERE cal.timeid = v.timeid) THEN 'timeid_not_in_calendar' END AS reason
+           FROM vals v JOIN named n USING (c_custkey, ry) JOIN refused r ON r.report_id = n.report_id AND r.reason IS NULL)
+SELECT report_id, timeid, reason, count(*) AS n FROM tagged WHERE reason IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT report_id, '', reason, 1 FROM refused WHERE reason IS NOT NULL
+"""
+
 LOAD_AUDIT = _report_rows("Month", gaps=True) + """,
 tagged AS (SELECT v.timeid, EXISTS (SELECT 1 FROM cal WHERE cal.timeid = v.timeid) AS in_cal FROM vals v)
 SELECT CASE WHEN in_cal THEN 'accepted' ELSE 'timeid_not_in_calendar' END AS outcome, count(*) AS n
@@ -411,6 +438,19 @@ SELECT bb.c_custkey || '-' || bb.ry AS report_id,
 FROM bb GROUP BY bb.c_custkey, bb.ry, bb.c_mktsegment, bb.prio, bb.st
 """
 
+FINAL_NAMES = """timelvl timelvlnm timeid timeidnm rpt_suite_id rpt_suite_nm channel lob product category_type category
+sgm_cd sgm_desc seg_cd seg_desc metric_name metric_value metric_format page_url data_src create_ts update_ts metric_id""".split()
+
+PUBLISH_COMMENTS = f"WITH t AS MATERIALIZED ({FINAL_LAYOUT})\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS col_name, 'string' AS data_type, 'it''s ' || count(DISTINCT {c}) || ' distinct values' AS comment FROM t"
+    for c in FINAL_NAMES)
+
+ADD_COLUMNS = f"""
+SELECT unnest({FINAL_NAMES!r}) AS col_name, 'string' AS data_type, '' AS comment
+UNION ALL
+SELECT 'region_' || lower(replace(r_name, ' ', '_')), 'string', 'orders in ' || r_name FROM region
+"""
+
 
 ORACLES = {
     "unpivot_month": UNPIVOT_MONTH,
@@ -433,9 +473,10 @@ ORACLES = {
     "column_comments": COLUMN_COMMENTS,
     "report_load": _report_load("Month"),
     "report_load_quarter": _report_load("Quarter"),
-    "report_load_files": _report_load("Month").replace(
-        "SELECT c_custkey, c_acctbal, c_mktsegment, c_nationkey",
-        "SELECT c_nationkey AS c_custkey, 0.0 AS c_acctbal, c_mktsegment, c_nationkey", 1),
+    "report_load_files": _report_load("Month"),
+    "load_quotes": LOAD_QUOTES,
+    "report_load_description": LOAD_DESCRIPTION,
+    "load_reject_reasons": LOAD_REJECT_REASONS,
     "section_wide_month": SECTION_WIDE_MONTH,
     "load_audit": LOAD_AUDIT,
     "load_rejects": LOAD_REJECTS,
@@ -445,4 +486,6 @@ ORACLES = {
     "write_append": f"SELECT * FROM ({FINAL_LAYOUT}) UNION ALL SELECT * FROM ({FINAL_LAYOUT})",
     "write_overwrite": FINAL_LAYOUT,
     "register_table": FINAL_LAYOUT,
+    "publish_comments": PUBLISH_COMMENTS,
+    "add_columns": ADD_COLUMNS,
 }

@@ -364,26 +364,64 @@ def column_comments(spark, d):
 SEP = "####################"
 
 
-def report_lines(spark, d, per_nation: bool = False) -> DataFrame:
-    """Renders one monthly/quarterly report per customer (or nation) and report
-    year from its orders: preamble, a summary section, both month sections and a quarter
-    section, one metric row per (priority, status) seen in the report year or
-    the year before. Every order is in two reports: its own year's and, as last
-    year, the next one's. A blank line and, for some customers, an over-wide
-    line are mixed in. ``(report_id, raw_pos, line)``.
-
-    One aggregate gives the metric rows; one window over each report's
-    (at most 75) metric rows numbers them; every metric row emits its four
-    section lines and the first one also the report's fixed lines.
+# Customers of one report file: its text is bounded, the number of files grows
+# with the customers.
+FILE_CUSTOMERS = 10_000
+# Reports by nation that the "defects" variant spoils.
+NO_DATE, NO_HEADER, OPEN_QUOTE, BLANK = 1, 2, 3, 5
+
+
+def _category() -> Column:
+    return (F.when(F.col("o_orderstatus") == "F", F.lit("Filled"))
+            .when(F.col("o_orderstatus") == "O", F.lit("Open")).otherwise(F.lit("")))
+
+
+def _label(seg: Column, metric: str = "Orders", mark: str = "") -> Column:
+    return F.concat(F.lit(f"{mark}[T|"), seg, F.lit("|web|"), F.col("o_orderpriority"), F.lit(f"|{metric}|"), _category(),
+                    F.lit(f"]{mark}"))
+
+
+def _open_name(seg: Column) -> Column:
+    return F.concat(F.lit("Open orders "), F.col("o_orderpriority"), F.lit(" "), seg)
+
+
+def _metric_cell(variant: str) -> Column:
+    """The first cell of a metric row as it stands in the file."""
+    seg = F.lower(F.col("c_mktsegment"))
+    filled, opened = F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "O"
+    if variant == "quotes":  # over two lines with doubled quotes; a stray quote; a quoted comma
+        return (F.when(filled, _label(seg, 'Or\nders ""all""', '"')).when(opened, _label(seg, 'Ord"ers'))
+                .otherwise(_label(seg, "Orders, net", '"')))
+    if variant == "names":  # known by a name of the mapping; no such name
+        return (F.when(filled, _label(seg)).when(opened, _open_name(seg))
+                .otherwise(F.concat(F.lit("Pending "), F.col("o_orderpriority"))))
+    if variant == "defects":  # too few parts
+        return F.when(filled | opened, _label(seg)).otherwise(F.concat(F.lit("[T|"), seg, F.lit("|web]")))
+    return _label(seg)
+
+
+def report_lines(spark, d, per_suite: bool = False, variant: str = "") -> DataFrame:
+    """Renders monthly/quarterly reports per report year from the orders: preamble,
+    a summary section, both month sections and a quarter section. A report is one
+    customer's, or with ``per_suite`` that of up to ``FILE_CUSTOMERS`` customers of
+    one suite; it has one metric row per customer, priority and status seen in the
+    report year or the year before. Every order is in two reports: its own year's
+    and, as last year, the next one's. A blank line and, for some customers, an
+    over-wide line are mixed in. ``variant`` changes how the cells are written
+    (``_metric_cell``). ``(report_id, raw_pos, line)``.
+
+    One aggregate gives the metric rows; one window over each report's (bounded)
+    metric rows numbers them; every metric row emits its four section lines and
+    the first one also the report's fixed lines.
     """
     oc = _orders_customers(spark, d).withColumn("ry", F.explode(F.array(F.col("y"), F.col("y") + 1)))
-    if per_nation:
-        oc = oc.withColumns({"c_custkey": F.col("c_nationkey"), "c_acctbal": F.lit(0.0)})
     nation = read_table(spark, d, "nation").select("n_nationkey", "n_name")
-    cat = (F.when(F.col("o_orderstatus") == "F", F.lit("Filled"))
-           .when(F.col("o_orderstatus") == "O", F.lit("Open")).otherwise(F.lit("")))
-    label = F.concat(F.lit("[T|"), F.lower(F.col("c_mktsegment")), F.lit("|web|"), F.col("o_orderpriority"),
-                     F.lit("|Orders|"), cat, F.lit("]"))
+    of_segment = F.col("c_acctbal") < 0
+    name = [F.col("c_custkey"), F.col("ry")]
+    if per_suite:
+        name = [F.col("c_nationkey"), F.when(of_segment, F.lower("c_mktsegment")).otherwise(F.lit("all")),
+                F.floor(F.col("c_custkey") / FILE_CUSTOMERS), F.col("ry")]
+    label = _metric_cell(variant)
     is_this = F.col("y") == F.col("ry")
     agg = [F.sum(F.when(is_this, 1)).alias("s_this"), F.sum(F.when(~is_this, 1)).alias("s_last")]
     agg += [F.sum(F.when(is_this & (F.col("mo") == m), 1)).alias(f"t{m}") for m in range(1, 13)]
@@ -393,9 +431,10 @@ def report_lines(spark, d, per_nation: bool = False) -> DataFrame:
     keys = ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment", "ry", "o_orderpriority", "o_orderstatus"]
     rows = oc.groupBy(*keys, label.alias("label")).agg(*agg)
     rows = rows.join(sized_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-    per_report = Window.partitionBy("c_custkey", "ry")
+    rows = rows.withColumn("report_id", F.concat_ws("-", *name))
+    per_report = Window.partitionBy("report_id")
     rows = rows.withColumns({
-        "i": F.row_number().over(per_report.orderBy("c_mktsegment", "o_orderpriority", "o_orderstatus")) - 1,
+        "i": F.row_number().over(per_report.orderBy("c_custkey", "c_mktsegment", "o_orderpriority", "o_orderstatus")) - 1,
         "n": F.count(F.lit(1)).over(per_report)})
 
     def csv(*cells):
@@ -404,7 +443,7 @@ def report_lines(spark, d, per_nation: bool = False) -> DataFrame:
     row_text = [csv("s_this", "s_last"), csv(*[f"t{m}" for m in range(1, 13)]),
                 csv(*[f"l{m}" for m in range(1, 13)]),
                 csv(*[f"lq{q}" for q in range(1, 5)], *[f"tq{q}" for q in range(1, 5)])]
-    suite = F.when(F.col("c_acctbal") < 0,
+    suite = F.when(of_segment,
                    F.concat(F.lit('"# Report suite: '), F.col("n_name"), F.lit(", "), F.col("c_mktsegment"), F.lit('"'))
                    ).otherwise(F.concat(F.lit("# Report suite: "), F.col("n_name")))
     date = F.concat(F.lit('"# Date: Jan 1, '), (F.col("ry") - 1).cast("string"), F.lit(" - Dec 31, "),
@@ -414,6 +453,14 @@ def report_lines(spark, d, per_nation: bool = False) -> DataFrame:
             "# Site Metrics by month - this year", SEP, "h1", wide_junk, "h2", "h3", 1, SEP,
             "# Site Metrics by month - last year", SEP, "h1", "h2", "h3", 2, SEP,
             "# Site Metrics by quarter", SEP, "h1", "h2", "h3", 3, SEP]
+    if variant == "defects":
+        of = F.col("c_nationkey")
+        spec[3] = F.when(of == NO_DATE, F.lit("# no date")).otherwise(date)
+        at = next(i for i, item in enumerate(spec) if isinstance(item, str) and item.endswith("by month - this year"))
+        spec[at] = F.when(of == NO_HEADER, F.lit("# Site metrics by month - this year")).otherwise(F.lit(spec[at]))
+        spec[-1] = F.when(of == OPEN_QUOTE, F.lit('"# never closed')).otherwise(F.lit(SEP))
+        low = (F.col("o_orderpriority") == "5-LOW") & F.col("t1").isNotNull()
+        row_text[1] = F.when(low, F.regexp_replace(row_text[1], r"\],([0-9]+)", "],$1%")).otherwise(row_text[1])
     # raw position of an item: fixed items before it + n per metric block before it
     fixed, row_pos, fixed_before, blocks_before = [], {}, 0, 0
     for item in spec:
@@ -429,8 +476,10 @@ def report_lines(spark, d, per_nation: bool = False) -> DataFrame:
                     row_text[k].alias("line")) for k in range(4)]
     first = F.col("i") == 0
     lines = F.concat(F.array(*own), F.filter(F.array(*fixed), lambda _: first))
-    return rows.select(F.concat_ws("-", "c_custkey", "ry").alias("report_id"), F.inline(lines)).select(
-        "report_id", F.col("p").alias("raw_pos"), "line")
+    out = rows.select("report_id", "c_nationkey", F.inline(lines)).withColumnRenamed("p", "raw_pos")
+    if variant == "defects":
+        out = out.withColumn("line", F.when(F.col("c_nationkey") == BLANK, F.lit("")).otherwise(F.col("line")))
+    return out.select("report_id", "raw_pos", "line")
 
 
 def report_dims(spark, d, gaps: bool = False):
@@ -438,17 +487,18 @@ def report_dims(spark, d, gaps: bool = False):
     ``gaps`` leaves a region's suites and a month out, for rejects."""
     oc = _orders_customers(spark, d)
     combos = oc.select(F.lower(F.col("c_mktsegment")).alias("seg"), "o_orderpriority", "o_orderstatus").distinct()
-    cat = (F.when(F.col("o_orderstatus") == "F", F.lit("Filled"))
-           .when(F.col("o_orderstatus") == "O", F.lit("Open")).otherwise(F.lit("")))
-    label = F.concat(F.lit("[T|"), F.col("seg"), F.lit("|web|"), F.col("o_orderpriority"), F.lit("|Orders|"), cat,
-                     F.lit("]"))
+    label = _label(F.col("seg"))
     mid = F.concat(F.lit("m"), F.substring("o_orderpriority", 1, 1), F.col("o_orderstatus"), F.lit("-"),
                    F.substring("seg", 1, 3))
     mapped = combos.where(F.col("o_orderstatus") != "P")
     metric_map = (mapped.select(mid.alias("id"), label.alias("name"), F.lit(1).cast("long").alias("ord"))
                   .unionByName(mapped.where(F.col("o_orderstatus") == "F")
                                .select(F.concat(F.lit("u"), mid).alias("id"), F.upper(label).alias("name"),
-                                       F.lit(0).cast("long").alias("ord"))))
+                                       F.lit(0).cast("long").alias("ord")))
+                  .withColumn("description", F.col("name"))
+                  .unionByName(mapped.where(F.col("o_orderstatus") == "O")
+                               .select(F.concat(F.lit("d"), mid).alias("id"), _open_name(F.col("seg")).alias("name"),
+                                       F.lit(2).cast("long").alias("ord"), label.alias("description"))))
     n = read_table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, d, "region").select("r_regionkey", "r_name")
     nr = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -492,16 +542,42 @@ def _report_load(spark, d, level, gaps=False):
     return load_reports(parsed, metric_map, suites, cal, level, RUN_TS)
 
 
-def report_load_files(spark, d):
-    """One report per nation and year over all orders, written as text files
-    (one per report, lines in file order, junk lines included) to the shared folder, then read back through
-    the splittable file reader and loaded."""
+def _load_files(spark, d, variant: str = "", gaps: bool = False, **kw):
+    """Reports per suite, written as text files (lines in file order, junk lines
+    included) to the shared folder, then read back through the splittable file
+    reader and loaded."""
     path = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
-    (report_lines(spark, d, per_nation=True).withColumnRenamed("report_id", "rid")
+    (report_lines(spark, d, per_suite=True, variant=variant).withColumnRenamed("report_id", "rid")
      .repartition("rid").sortWithinPartitions("rid", "raw_pos")
      .select("rid", "line").write.partitionBy("rid").text(path))
-    metric_map, suites, cal = report_dims(spark, d)
-    return load_files(spark, path, metric_map, suites, cal, LEVEL_MONTH, RUN_TS).rows
+    metric_map, suites, cal = report_dims(spark, d, gaps)
+    return load_files(spark, path, metric_map, suites, cal, LEVEL_MONTH, RUN_TS, **kw)
+
+
+def report_load_files(spark, d):
+    """All orders as report files, one metric row per customer, priority and
+    status: the text grows with the orders."""
+    return _load_files(spark, d).rows
+
+
+def load_quotes(spark, d):
+    """The same with labels over two lines, doubled and stray quotes."""
+    return _load_files(spark, d, "quotes").rows
+
+
+def report_load_description(spark, d):
+    """The same with open orders' rows named as in the metric map, whose
+    descriptions give their dimensions; rows of other names are no metric rows."""
+    return _load_files(spark, d, "names", label_style="description").rows
+
+
+def load_reject_reasons(spark, d):
+    """Every reject reason in one load, counted per report and period."""
+    res = _load_files(spark, d, "defects", gaps=True)
+    rows = res.rejects().groupBy("report_id", "timeid", "reason").agg(F.count(F.lit(1)).alias("n"))
+    both = rows.unionByName(res.report_rejects.select(
+        "report_id", F.lit("").alias("timeid"), "reason", F.lit(1).cast("long").alias("n")))
+    return both.withColumn("report_id", F.regexp_extract("report_id", "/rid=([^/]+)/", 1))
 
 
 def report_load(spark, d):
@@ -595,11 +671,11 @@ def upsert_added_columns(spark, d):
         "timeid", "lob", "metric_id", "metric_name", "metric_value", "create_ts", "update_ts", "region_note", "orders_rank")
 
 
-def _registered(spark, d) -> str:
+def _registered(spark, d, rows: DataFrame | None = None, comments: DataFrame | None = None) -> str:
     path = _scratch(spark)
-    rows = final_layout(spark, d)
+    rows = final_layout(spark, d) if rows is None else rows
     sink.append(rows, path)
-    return sink.register_table(spark, "tallyspark_q", f"t_{uuid.uuid4().hex[:12]}", path, schema=rows.schema)
+    return sink.register_table(spark, "tallyspark_q", f"t_{uuid.uuid4().hex[:12]}", path, schema=rows.schema, comments=comments)
 
 
 def register_table(spark, d):
@@ -612,14 +688,15 @@ def _table_comments(spark, name) -> DataFrame:
 
 
 def publish_comments(spark, d):
-    name = _registered(spark, d)
     # comments from the data itself: the number of distinct values per column
-    t = spark.table(name)
-    stats = t.agg(*[F.count_distinct(F.col(c)).alias(c) for c in FINAL_COLS])
+    rows = stage(final_layout(spark, d), "commented")
+    stats = rows.agg(*[F.count_distinct(F.col(c)).alias(c) for c in FINAL_COLS])
     comments = stats.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.concat(F.lit("it's "), F.col(c).cast("string"),
                                                     F.lit(" distinct values")).alias("metadata"),
                  F.lit(i).cast("long").alias("ord")) for i, c in enumerate(FINAL_COLS)])))
+    # the partition column takes its comment where the table is declared
+    name = _registered(spark, d, rows, comments)
     sink.publish_comments(spark, name, comments)
     return _table_comments(spark, name)
 
@@ -656,6 +733,9 @@ QUERIES = {
     "report_load": report_load,
     "report_load_quarter": report_load_quarter,
     "report_load_files": report_load_files,
+    "load_quotes": load_quotes,
+    "report_load_description": report_load_description,
+    "load_reject_reasons": load_reject_reasons,
     "section_wide_month": section_wide_month,
     "load_audit": load_audit,
     "load_rejects": load_rejects,
