@@ -111,7 +111,8 @@ def _with_copies(rows: DataFrame, plan: DataFrame, cuts: DataFrame, seed: str) -
     at_cut = F.col("__bucket").isNotNull() & (F.col("__bucket") == F.col("__cut"))
     extra = F.when(F.col("__bucket").isNotNull() & (F.col("__cut").isNull() | (F.col("__bucket") < F.col("__cut"))), 1)
     clear = r.where(~F.coalesce(at_cut, F.lit(False))).withColumn("__extra", extra.otherwise(0))
-    order = (Window.partitionBy("__source").orderBy("__q", "__id", "__size")
+    tie = ["__row"] if "__row" in r.columns else []
+    order = (Window.partitionBy("__source").orderBy("__q", "__id", "__size", *tie)
              .rowsBetween(Window.unboundedPreceding, -1))
     taken = F.col("__before") + F.coalesce(F.sum("__size").over(order), F.lit(0)) + F.col("__size") / 2 <= F.col("__rest")
     edge = r.where(F.coalesce(at_cut, F.lit(False))).withColumn("__extra", F.when(taken, 1).otherwise(0))
@@ -157,11 +158,14 @@ def mixture(docs: DataFrame, **kw) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, **kw) -> DataFrame:
-    """``docs`` (all its columns), every row as often as the mix takes it."""
+    """``docs`` (all its columns, whatever their names), every row as often as
+    the mix takes it. Of rows with one id and size (or none) the lowest hashes
+    of the whole row come first, so reruns agree."""
     rows = stage(_sized(docs), "mix-rows")
-    out = mix(rows, _sized(docs, *[F.col(c) for c in docs.columns]), **kw)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    out = mix(rows, _sized(docs, whole.alias("__doc"), F.xxhash64(whole).alias("__row")), **kw)
     return (out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))))
-            .select(*docs.columns))
+            .select("__doc.*"))
 
 
 def op2_source_mix(spark, sf_dir: str) -> DataFrame:

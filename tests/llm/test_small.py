@@ -184,6 +184,15 @@ def test_mix_cases(spark):
     assert source_mix.mixture(frame(spark, [])).collect() == []
 
 
+def test_mixed_documents_keep_their_columns_and_reruns_agree(spark):
+    # one id, size and source on many texts; a column named as an inner one
+    rows = [(None, f"word{i} b c", "s" if i % 3 else None) for i in range(60)]
+    docs = frame(spark, rows).withColumns({"__id": F.col("text"), "a.b": F.lit(1)})
+    first = sorted(map(str, source_mix.mix_documents(docs.repartition(1, "text")).collect()))
+    assert first == sorted(map(str, source_mix.mix_documents(docs.repartition(7, "kept").orderBy(F.desc("text"))).collect()))
+    assert source_mix.mix_documents(docs).columns == docs.columns and len(first) > 60
+
+
 def test_url_rules(spark):
     urls = ["http://a.Example.NET/en/x?q=1", "https://net/de/", "x://foo.net", "ftp://example.com/de/#f", "a.org/fr/", None, "",
             "http://m.org/fr/a/b", "http://notexample.net/en/", "http://h.com/fr/"]
