@@ -7,8 +7,13 @@ model never sees an earlier one's answers on its own training rows. In use the
 probabilities come from the model fitted on the whole sample.
 
 Features: the set of words of the whole text (letters, lower-cased) and the set
-of their five-letter beginnings, hashed to ``WIDTH``; those in fewer than
-``MIN_DOCS`` sampled documents are left out.
+of their five-letter beginnings, hashed to ``WIDTH``. A model keeps those in at
+least ``MIN_DOCS`` sampled documents whose share of the category differs from
+the sample's by more than ``SCORE`` standard deviations (chance would pass less
+than one in a million): labels are noisy, and rare words would learn the noise.
+
+The models are fitted with balanced classes; what they report is moved to the
+categories' rates among all labels, so 0.5 is where either answer errs as often.
 
 Sample: at most ``TRAIN_ROWS`` labelled documents, those with the lowest hashes
 of the id, half from those with the last category and half from those without.
@@ -18,8 +23,9 @@ document of the sample, with its least text.
 Categories are columns of the label table: the registered query chains
 ``low_quality`` (quality 0) and ``toxic``.
 
-Cases: null and empty texts have no words and get the base probability of such
-a text, never toxic unless learned so; labels with null ids or values are
+Cases: null and empty texts have no words and get the probability of a text
+without any known one; they are never toxic. Very long texts are read whole. Equal
+hashes of ids go into the sample together; labels with null ids or values are
 ignored; a document labelled more than once takes the largest label. Without
 labels for a category its probability is 0. Repeated rows get equal results; an
 empty table gives an empty result; extra columns are ignored.
@@ -29,7 +35,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,24 +43,67 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm.common import lowest, map_batches, table
 from tallyspark.llm.linear import Sparse, sigmoid
+from tallyspark.llm.pretokens import Memo
 from tallyspark.session import stage
 
 WIDTH = 1 << 20
 TRAIN_ROWS = 4000
 MIN_DOCS = 4
+SCORE = 5.0
+L2 = 2e-5
 FOLDS = 3
 MEMO = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-@lru_cache(MEMO)
-def word_features(word: str) -> tuple[int, int]:
+def _hashed(word: str) -> tuple[int, int]:
     return (zlib.crc32(word.encode()) % WIDTH, zlib.crc32(b"^" + word[:5].encode()) % WIDTH)
 
 
+_features = Memo(_hashed, "", MEMO)  # bounded in entries and their length
+
+
 def text_features(text: bytes | None) -> np.ndarray:
     words = set(_WORD.findall((text or b"").decode("utf-8", "replace").lower()))
-    return np.array(sorted({f for w in words for f in word_features(w)}), np.int32)
+    out = np.array(sorted({f for w in words for f in _features[w]}), np.int32)
+    _features.trim()
+    return out
+
+
+def telling(rows: list[np.ndarray], y: np.ndarray, score: float = SCORE) -> np.ndarray:
+    """Features, ascending, that occur with ``y`` more or less often than by
+    chance: ``score`` standard deviations of the hypergeometric count."""
+    found = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    n, rate = len(rows), y.mean() if len(rows) else 0.0
+    docs = np.bincount(found, minlength=WIDTH)
+    hits = np.bincount(found, np.repeat(y, [len(r) for r in rows]), minlength=WIDTH)
+    spread = np.sqrt(docs * rate * (1 - rate) * (1 - docs / max(n, 1)))
+    return np.flatnonzero((docs >= MIN_DOCS) & (np.abs(hits - docs * rate) > score * spread) & (spread > 0))
+
+
+def _places(used: np.ndarray, found: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(used, found)
+    inside = at < len(used)
+    at = at[inside]
+    return at[used[at] == found[inside]]
+
+
+class Linear:
+    """One model: its features, their weights, those of the probabilities
+    before it, and the intercept."""
+
+    def __init__(self, rows: list[np.ndarray], y: np.ndarray, before: np.ndarray):
+        self.used = telling(rows, y)
+        self.w, self.v, self.b = self._sparse(rows, before).fit(y, l2=L2)
+
+    def _sparse(self, rows, before):
+        return Sparse([_places(self.used, r) for r in rows], len(self.used), before)
+
+    def many(self, rows: list[np.ndarray], before: np.ndarray) -> np.ndarray:
+        return sigmoid(self._sparse(rows, before).dot(self.w, self.v, self.b))
+
+    def one(self, found: np.ndarray, before: list[float]) -> float:
+        return float(sigmoid(self.w[_places(self.used, found)].sum() + np.dot(self.v, before) + self.b))
 
 
 class Chain:
@@ -63,9 +111,6 @@ class Chain:
 
     def __init__(self, categories: list[str], rows: list[np.ndarray], labels: np.ndarray, folds: int = FOLDS):
         self.categories, self.models = categories, []
-        seen = np.bincount(np.concatenate(rows), minlength=WIDTH) if rows else np.zeros(WIDTH, int)
-        self.used = np.flatnonzero(seen >= MIN_DOCS)  # sorted: looked up by bisection
-        rows = [np.searchsorted(self.used, r[seen[r] >= MIN_DOCS]) for r in rows]
         fold = np.arange(len(rows)) % folds
         before = np.zeros((len(rows), 0))
         for c in range(len(categories)):
@@ -74,27 +119,29 @@ class Chain:
                 self.models.append(None)
                 before = np.hstack([before, np.full((len(rows), 1), y[0] if len(y) else 0.0)])
                 continue
-            data = Sparse(rows, len(self.used), before)
-            self.models.append(data.fit(y))
+            self.models.append(Linear(rows, y, before))
             if c + 1 < len(categories):
                 out = np.zeros((len(rows), 1))
                 for f in range(folds):
-                    other = data.take(fold != f)
-                    out[fold == f, 0] = sigmoid(data.take(fold == f).dot(*other.fit(y[fold != f])))
+                    own, other = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
+                    model = Linear([rows[i] for i in other], y[other], before[other])
+                    out[own, 0] = model.many([rows[i] for i in own], before[own])
                 before = np.hstack([before, out])
         self.constant = [float(labels[0, c]) if len(labels) else 0.0 for c in range(len(categories))]
+        self.shift = [0.0] * len(categories)
+
+    def at_rates(self, rates: list[float]) -> "Chain":
+        """Reports probabilities as of categories with these rates."""
+        self.shift = [float(np.log(r / (1 - r))) if 0 < r < 1 else 0.0 for r in rates]
+        return self
 
     def predict(self, found: np.ndarray) -> list[float]:
-        at = np.searchsorted(self.used, found)
-        at = at[(at < len(self.used)) & (self.used[np.minimum(at, len(self.used) - 1)] == found)] if len(self.used) else at[:0]
         p: list[float] = []
         for model, constant in zip(self.models, self.constant):
-            if model is None:
-                p.append(constant)
-            else:
-                w, v, b = model
-                p.append(float(sigmoid(w[at].sum() + np.dot(v, p[:len(v)]) + b)))
-        return p
+            p.append(constant if model is None else model.one(found, p[:len(model.v)]))
+        odds = np.clip(p, 1e-15, 1 - 1e-15)
+        moved = sigmoid(np.log(odds / (1 - odds)) + self.shift)
+        return [x if m is None else float(y) for x, y, m in zip(p, moved, self.models)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], train_rows: int = TRAIN_ROWS) -> Chain:
@@ -104,7 +151,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], train_rows: i
     own = own.join(docs.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
     own = stage(own.withColumn("draw", F.xxhash64("id", F.lit("toxic"))), "toxic-labels")
     last = categories[-1]
-    counts = {r[last]: r["n"] for r in own.groupBy(last).agg(F.count(F.lit(1)).alias("n")).collect()}
+    per = own.groupBy(last).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(categories)]).collect()
+    counts = {r[last]: r["n"] for r in per}
+    rates = [sum(r[f"s{i}"] for r in per) / max(1, sum(counts.values())) for i in range(len(categories))]
     drawn = own.where(lowest(own, last, "draw", counts, max(1, train_rows // 2)) if counts else F.lit(False)).drop("draw")
     # bounded by the sample size, whatever the table's
     sample = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).join(
@@ -120,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], train_rows: i
     blobs = out["x"].to_pylist()
     y = np.array([out[c].to_pylist() for c in categories], float).T.reshape(len(ids), len(categories))
     order = sorted(range(len(ids)), key=lambda i: (zlib.crc32(str(ids[i]).encode()), ids[i], blobs[i]))
-    return Chain(categories, [np.frombuffer(blobs[i], np.int32) for i in order], y[order])
+    return Chain(categories, [np.frombuffer(blobs[i], np.int32) for i in order], y[order]).at_rates(rates)
 
 
 def judge(docs: DataFrame, labels: DataFrame, categories: list[str], train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -129,8 +178,9 @@ def judge(docs: DataFrame, labels: DataFrame, categories: list[str], train_rows:
     chain = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, categories, train_rows))
 
     def run(ids, texts):
-        p = np.array([chain.value.predict(text_features(t)) for t in texts]).reshape(-1, len(categories))
-        return [ids, *p.T, p[:, -1] >= 0.5]
+        found = [text_features(t) for t in texts]
+        p = np.array([chain.value.predict(f) for f in found]).reshape(-1, len(categories))
+        return [ids, *p.T, (p[:, -1] >= 0.5) & np.array([len(f) > 0 for f in found], bool)]
 
     names = [f"p_{c}" for c in categories]
     return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
