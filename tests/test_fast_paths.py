@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import quotes
 from tallyspark.functions.values import parse_value, value_ok
+from tallyspark.operators import sections
 from tallyspark.operators.reshape import unpivot_periods
+from tallyspark.plans.load import load_files
 from tallyspark.sources import reports
+from tallyspark.sources.reports import parse_lines
 
 
 def _lines():
@@ -104,3 +107,48 @@ def test_load_is_compiled(spark):
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
     assert max(sizes) < 8000
     assert result.rows.count() == 1
+
+
+def test_first_cell_is_the_first_of_all_cells(spark):
+    lines = _lines() + ['"a ', '"a"b"c,d', '"é|""|,1', 'st"ray,"x"']
+    df = spark.createDataFrame([(t,) for t in lines], "line string")
+    got = df.select("line", quotes.first_cell(F.col("line")).alias("first"), F.get(quotes.cells(F.col("line")), F.lit(0)).alias("cell"))
+    assert [(r.line, r.first) for r in got.collect()] == [(r.line, r.cell) for r in got.collect()]
+
+
+def test_files_are_listed_once(spark, tmpdir_path, monkeypatch):
+    with open(f"{tmpdir_path}/empty.txt", "w"):
+        pass
+    with open(f"{tmpdir_path}/r.txt", "w") as f:
+        f.write("# Company\n")
+    reader, listed = type(spark.read), []
+    text = reader.text
+    monkeypatch.setattr(reader, "text", lambda self, *a, **k: listed.append(a) or text(self, *a, **k))
+    dims = [spark.createDataFrame([], s) for s in ("id string, name string, ord long", "name string, rsid string, ord long",
+                                                   "timelvl string, timelvlnm string, timeid string, timeidnm string")]
+    res = load_files(spark, tmpdir_path, *dims, "Month", "now")
+    assert len(listed) == 1
+    assert sorted((r.report_id.rsplit("/", 1)[1], r.reason) for r in res.report_rejects.collect()) == [
+        ("empty.txt", "empty_report"), ("r.txt", "no_year")]
+
+
+def test_only_lines_of_sections_are_parsed(spark):
+    lines = spark.createDataFrame([("r", 0, "|a,1"), ("r", 1, "|b,2"), ("r", 2, "|c,3")], "report_id string, pos long, line string")
+    bounds = spark.createDataFrame([("r", "summary", 1, 2)], "report_id string, kind string, start long, end long")
+    body = sections.carve(parse_lines(lines), bounds)
+    assert [(r.kind, r.pos, r.col1, r.col2, r.col3) for r in body.collect()] == [("summary", 1, "|b", "2", None)]
+    plan = body._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("split(line") < plan.index("Join")
+
+
+def test_markers_read_a_cell_once_and_heads_do_not_sort_them(spark):
+    lines = spark.createDataFrame([("r", 2, '"# Report suite: A, B"'), ("r", 5, "# Site Metrics"), ("r", 6, "####"), ("r", 7, "x,#")],
+                                  "report_id string, pos long, line string")
+    marks = sections.markers(parse_lines(lines), "Month")
+    assert sorted(r.pos for r in marks.collect()) == [2, 5, 6]
+    # twice for each use of the cell: one in the projection, two in the filter
+    assert marks._jdf.queryExecution().optimizedPlan().toString().count("substring_index(") <= 6
+    heads = sections.report_heads(marks, "Month")
+    assert [(r.suite_line, r.date_line, r.any_quote_bad, r.h_summary) for r in heads.collect()] == [("# Report suite: A, B", None, False, 5)]
+    plan = heads._jdf.queryExecution().executedPlan().toString()
+    assert "max(quote_bad" in plan and not any("quote_bad" in part for part in plan.split("\n") if "SortAggregate" in part)
