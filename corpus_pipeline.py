@@ -17,14 +17,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.llm import bpe, exact_dedup, language_id, simhash, source_mix
-from tallyspark.session import stage, unstage
+from tallyspark.session import BATCH_BYTES, bound_batches, stage, unstage
 
 # Workers of the last stage run beside executors that the other stages have
-# filled, so they keep fewer pieces than the operator's default.
-KEPT_PIECES = 150_000
+# filled, so they keep less than the operator does by default. A piece is worth
+# more than a state: it saves the way through all of its states.
+KEPT_PIECES = 300_000
+KEPT_STATES = 60_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return language_id.known_language(docs)
 
 
@@ -33,6 +36,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return simhash.drop_near_copies(docs)
 
 
@@ -41,7 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(docs, with_ids=True, kept=KEPT_PIECES)
+    bound_batches(spark)
+    return bpe.round_trip(docs, with_ids=True, kept=KEPT_PIECES, states=KEPT_STATES)
 
 
 STAGES = [
@@ -59,8 +64,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES:
-        out = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
-        unstage(docs)
-        docs = out
+    bounded = bound_batches(spark)
+    try:
+        for name, step in STAGES:
+            out = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+            unstage(docs)
+            docs = out
+    finally:
+        if bounded:
+            spark.conf.unset(BATCH_BYTES[0])
     return docs

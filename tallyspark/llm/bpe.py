@@ -5,8 +5,8 @@ itself and every two neighbours encode as themselves when put together. So the
 merges compile to a transducer: its nondeterministic states are (token before,
 node in the byte trie of the vocabulary), and a token may end where the trie
 has one and its pair with the token before is stable. Read as sets of states
-with their pending tokens, it is deterministic; a set is built when first met
-and kept. Tokens that all members agree on are emitted at once, so output lags
+with their pending tokens, it is deterministic; sets are built when met, and
+each new path leaves its first ones behind for the paths after it. Tokens that all members agree on are emitted at once, so output lags
 the input by a bounded number of bytes (members end within one longest token of
 each other). Each prefix has one encoding, so at the end one member is left.
 
@@ -42,7 +42,8 @@ from tallyspark.llm.pretokens import Memo, Splitter, cut
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_STATES = 400_000    # sets of states kept before starting anew
-MAX_PAIRS = 400_000     # tested pairs of tokens kept before starting anew
+LEARNED = 2             # steps kept of each path that leads beyond the kept ones
+MAX_PAIRS = 300_000     # tested pairs of tokens kept before starting anew
 MAX_PIECES = 900_000    # cut pieces and words whose ids are kept before starting anew
 TOKEN_BITS = 24
 TOKEN_MASK = (1 << TOKEN_BITS) - 1
@@ -104,7 +105,8 @@ class Vocabulary:
 class Transducer:
     """Encodes pieces of bytes; states are determinised when first met."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, states: int = MAX_STATES):
+        self.most = states
         self.ranks, self.bytes_of = vocabulary.ranks, vocabulary.bytes_of
         self.trie, self.edges = vocabulary.trie, vocabulary.edges
         self.pairs: dict[int, bool] = {}  # token before << TOKEN_BITS | token -> stable
@@ -121,7 +123,7 @@ class Transducer:
         self.finals: dict[int, tuple] = {}
 
     def trim(self) -> None:
-        if len(self.sets) > MAX_STATES:
+        if len(self.sets) > self.most:
             self._reset()
         if len(self.pairs) > MAX_PAIRS:
             self.pairs.clear()
@@ -169,127 +171,135 @@ class Transducer:
         self.pairs[before << TOKEN_BITS | token] = ok
         return ok
 
-    def _step(self, state: int, byte: int) -> int:
-        members, trie, stable = [], self.trie.get, self.pairs.get
-        flat = memoryview(self.sets[state]).cast("i").tolist()
-        to, end = 0, len(flat)
-        while to < end:
+    def _members(self, state: int) -> list[tuple]:
+        flat, members, at = memoryview(self.sets[state]).cast("i").tolist(), [], 0
+        while at < len(flat):
+            to = at + 3 + flat[at + 2]
+            members.append((flat[at], flat[at + 1], tuple(flat[at + 3:to])))
             at = to
-            to += 3 + flat[at + 2]
-            found = trie(flat[at + 1] << 8 | byte)
+        return members
+
+    def _advance(self, members: list[tuple], byte: int) -> tuple[list[tuple], tuple]:
+        """The set of states after one more byte, and the tokens that have
+        become certain."""
+        out, trie, stable = [], self.trie.get, self.pairs.get
+        for before, node, pending in members:
+            found = trie(node << 8 | byte)
             if found is None:
                 continue
-            before, pending = flat[at], tuple(flat[at + 3:to])
             token = found & TOKEN_MASK
-            members.append((before, found >> TOKEN_BITS, pending))
+            out.append((before, found >> TOKEN_BITS, pending))
             if token:
                 token -= 1
                 ok = stable(before << TOKEN_BITS | token)
                 if self._stable(before, token) if ok is None else ok:
-                    members.append((token, 0, (*pending, token)))
-        first = members[0][2]
+                    out.append((token, 0, (*pending, token)))
+        if not out:
+            raise ValueError("the vocabulary lacks a byte of this text")
+        first = out[0][2]
         n = len(first)  # pending tokens on which all members agree
         if n:
-            for _, _, p in members:
+            for _, _, p in out:
                 if p is not first and p[:n] != first[:n]:
                     n = next((i for i, (x, y) in enumerate(zip(p, first)) if x != y), min(n, len(p)))
                     if not n:
-                        break
+                        return out, ()
+            return [(before, node, p[n:]) for before, node, p in out], first[:n]
+        return out, ()
+
+    def _keep(self, state: int, byte: int, members: list[tuple], certain: tuple) -> int:
+        """Keeps a step of the deterministic machine and where it leads."""
         flat = []
-        for b, node, p in members:
-            flat += (b, node, len(p) - n, *p[n:])
+        for before, node, pending in members:
+            flat += (before, node, len(pending), *pending)
         key = array("i", flat).tobytes()
         to = self.ids.get(key)
         if to is None:
             to = self.ids[key] = len(self.sets)
             self.sets.append(key)
-        if n:
-            self.emits.append((to, first[:n]))
-            to = ~(len(self.emits) - 1)
-        self.steps[state << 8 | byte] = to
+        self.steps[state << 8 | byte] = ~len(self.emits) if certain else to
+        if certain:
+            self.emits.append((to, certain))
         return to
 
-    def _final(self, state: int) -> tuple:
-        flat, ends, at = memoryview(self.sets[state]).cast("i").tolist(), [], 0
-        while at < len(flat):
-            to = at + 3 + flat[at + 2]
-            if flat[at + 1] == 0:
-                ends.append(tuple(flat[at + 3:to]))
-            at = to
-        if len(ends) != 1:
-            raise ValueError("the vocabulary lacks a byte of this text")
-        self.finals[state] = ends[0]
-        return ends[0]
-
     def stream(self, data: Iterable[int]) -> Iterator[int]:
-        """Token ids of one piece, each as soon as it is certain."""
-        state, steps = 0, self.steps
+        """Token ids of one piece, each as soon as it is certain. Kept steps
+        are followed as far as they go; of those beyond them only the first
+        ``LEARNED`` are kept, so that what comes once leaves little behind."""
+        state, get, emits, members, new = 0, self.steps.get, self.emits, None, LEARNED
         for byte in data:
-            at = state << 8 | byte
-            state = steps[at] if at in steps else self._step(state, byte)
-            if state < 0:
-                state, certain = self.emits[~state]
-                yield from certain
+            step = get(state << 8 | byte)
+            if step is not None:
+                if step < 0:
+                    step, certain = emits[~step]
+                    yield from certain
+                state, members = step, None
+                continue
+            members, certain = self._advance(members or self._members(state), byte)
+            if new:
+                state = self._keep(state, byte, members, certain)
+                new -= 1
+            else:
+                state = -1  # not kept: no step leads on from it
+            yield from certain
         last = self.finals.get(state)
-        yield from self._final(state) if last is None else last
+        if last is None:
+            last = self._final(members or self._members(state))
+            if state >= 0:
+                self.finals[state] = last
+        yield from last
+
+    @staticmethod
+    def _final(members: list[tuple]) -> tuple:
+        ends = [pending for _, node, pending in members if node == 0]
+        if len(ends) != 1:
+            raise ValueError("the vocabulary lacks a byte of this text")
+        return ends[0]
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         whole = self.ranks.get(piece)
-        if whole is not None:
-            return (whole,)
-        state, get, emits, out = 0, self.steps.get, self.emits, []
-        for byte in piece:
-            step = get(state << 8 | byte)
-            if step is None:
-                step = self._step(state, byte)
-            if step < 0:
-                step, certain = emits[~step]
-                out += certain
-            state = step
-        last = self.finals.get(state)
-        out += self._final(state) if last is None else last
-        return tuple(out)
+        return tuple(self.stream(piece)) if whole is None else (whole,)
 
 
 class Tokenizer:
     """Encoder and decoder of one vocabulary file. What a piece encodes to is
-    kept as ``(ids as decimal text, decoded bytes)``."""
+    kept as its ids, packed in 32 bits each."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, kept: int = MAX_PIECES):
-        self.transducer = Transducer(vocabulary)
+    def __init__(self, vocabulary: Vocabulary, pattern: str, kept: int = MAX_PIECES, states: int = MAX_STATES):
+        self.transducer = Transducer(vocabulary, states)
         self.digits = vocabulary.digits
         self.split = Splitter(pattern)
         self.first = Memo(self._piece, "", kept // 16)
-        self.later = Memo(self._piece, " ", kept // 2)
-        self.words = Memo(self._word, "", kept // 2)
+        self.later = Memo(self._piece, " ", kept // 8 * 7)
+        self.words = Memo(self._word, "", kept // 16)
 
-    def _word(self, text: str) -> tuple[str, bytes]:
-        ids = self.transducer.encode(text.encode())
-        if len(ids) == 1:
-            return self.digits[ids[0]], self.transducer.bytes_of[ids[0]]
-        return ",".join(map(self.digits.__getitem__, ids)), b"".join(map(self.transducer.bytes_of.__getitem__, ids))
+    def _word(self, text: str) -> bytes:
+        return array("i", self.transducer.encode(text.encode())).tobytes()
 
-    def _piece(self, text: str) -> tuple[str, bytes]:
+    def _piece(self, text: str) -> bytes:
         words = self.split(text)
         if len(words) == 1:
             return self._word(text)  # kept as a piece already
-        found = list(map(self.words.__getitem__, words))
-        return ",".join([a for a, _ in found]), b"".join([b for _, b in found])
+        # letters after a space are one match wherever they stand, so they share the table of pieces
+        later, others = self.later, self.words
+        return b"".join([later[w[1:]] if w[0] == " " and w[1:].isalpha() else others[w] for w in words])
 
-    def both(self, text: str) -> tuple[str, list[bytes]]:
-        """``(ids joined by commas, decoded bytes of every piece)`` of a whole
-        text."""
+    def encode(self, text: str) -> list[int]:
+        """Token ids of a whole text."""
+        return self.packed(text).tolist()
+
+    def packed(self, text: str) -> np.ndarray:
+        """Token ids of a whole text, as 32-bit numbers."""
         self.first.trim()
         self.later.trim()
         self.words.trim()
         self.transducer.trim()
         pieces = cut(text)
-        found = [self.first[pieces[0]], *map(self.later.__getitem__, pieces[1:])]
-        return ",".join([a for a, _ in found]) if pieces[0] else ",".join([a for a, _ in found[1:]]), [b for _, b in found]
+        return np.frombuffer(b"".join([self.first[pieces[0]], *map(self.later.__getitem__, pieces[1:])]), np.int32)
 
-    def encode(self, text: str) -> list[int]:
-        """Token ids of a whole text."""
-        return _ids(self.both(text)[0]).tolist()
+    def decimal(self, ids: list[int]) -> str:
+        """The ids as decimal numbers joined by commas."""
+        return ",".join(map(self.digits.__getitem__, ids))
 
     def decode_bytes(self, ids: list[int]) -> Iterator[bytes]:
         """The bytes of the ids, chunk by chunk."""
@@ -336,19 +346,15 @@ def read_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(read_ranks(path))
 
 
-def tokenizer(path: str, pattern: str, kept: int = MAX_PIECES) -> Tokenizer:
-    """One per worker and stage, so that its tasks meet each state once."""
-    return shared((path, pattern, kept), lambda: Tokenizer(read_vocabulary(path), pattern, kept))
+def tokenizer(path: str, pattern: str, kept: int = MAX_PIECES, states: int = MAX_STATES) -> Tokenizer:
+    """One per worker and stage, so that its tasks share what they have learned."""
+    return shared((path, pattern, kept, states), lambda: Tokenizer(read_vocabulary(path), pattern, kept, states))
 
 
 def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _ids(text: str) -> np.ndarray:
-    return np.fromiter(map(int, text.split(",")) if text else (), np.int32)
-
-
 def _text(t: bytes | None) -> str:
     return (t or b"").decode("utf-8", "replace")
 
@@ -357,7 +363,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str
     """``doc_id, ids array<int>`` per row of ``docs``."""
     def make():
         tok = tokenizer(vocabulary_path(vocabulary), pattern)
-        return lambda ids, texts: [ids, [_ids(tok.both(_text(t))[0]) for t in texts]]
+        return lambda ids, texts: [ids, [tok.packed(_text(t)) for t in texts]]
 
     return map_task(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make,
                     "doc_id long, ids array<int>", [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -374,13 +380,13 @@ def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY, pattern:
 
 
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN,
-               with_ids: bool = False, kept: int = MAX_PIECES) -> DataFrame:
+               with_ids: bool = False, kept: int = MAX_PIECES, states: int = MAX_STATES) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_tokens, ids_sha256, decoded_sha256,
     round_trip`` (the streamed text equals the input) and, if asked for,
-    ``ids array<int>``. ``kept`` bounds the table of pieces of a worker; it
-    changes memory and time only."""
+    ``ids array<int>``. ``kept`` and ``states`` bound the tables of pieces and
+    of the transducer in a worker; they change memory and time only."""
     def make():
-        tok = tokenizer(vocabulary_path(vocabulary), pattern, kept)
+        tok = tokenizer(vocabulary_path(vocabulary), pattern, kept, states)
 
         def run(ids, texts):
             # the tables hold no cycles, and walking them again and again
@@ -395,19 +401,19 @@ def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = pub
             n, a, b, same, every = [], [], [], [], []
             for t in texts:
                 text = _text(t)
-                joined, pieces = tok.both(text)
-                n.append(joined.count(",") + 1 if joined else 0)
-                a.append(hashlib.sha256(joined.encode()).hexdigest())
+                packed = tok.packed(text)
+                found = packed.tolist()
+                n.append(len(found))
+                a.append(hashlib.sha256(tok.decimal(found).encode()).hexdigest())
                 digest, stream, out = hashlib.sha256(), Utf8Stream(), []
-                for i in range(0, len(pieces), CHUNK):
-                    data = b"".join(pieces[i:i + CHUNK])
+                for data in tok.decode_bytes(found):
                     digest.update(data)
                     out.append(stream.feed(data))
                 out.append(stream.end())
                 b.append(digest.hexdigest())
                 same.append("".join(out) == text)
                 if with_ids:
-                    every.append(pa.array(_ids(joined), pa.int32()))
+                    every.append(packed)
             return [ids, n, a, b, same, *([every] if with_ids else [])]
         return run
 

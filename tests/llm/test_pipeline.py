@@ -12,10 +12,13 @@ import corpus_pipeline
 import duckdb
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 
 from tallyspark.llm import bpe, language_id, source_mix
+from tallyspark.session import BATCH_BYTES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -66,6 +69,29 @@ def _brute_force(spark, rows):
     return +out
 
 
+def test_whole_texts_go_to_python_in_small_batches(spark):
+    """The pipeline bounds the bytes of a batch, and its run takes the bound back."""
+    texts = spark.range(6000).coalesce(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("words "), 500).alias("text"))
+
+    def most():
+        return max(r.n for r in texts.mapInArrow(sizes, "n long").collect())
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    assert BATCH_BYTES[0] not in spark.conf.getAll and most() > 8 << 20
+    try:
+        corpus_pipeline.encode(spark, texts, "")
+        assert most() < 8 << 20
+    finally:
+        spark.conf.unset(BATCH_BYTES[0])
+    folder = tempfile.mkdtemp(prefix="tallyspark-test-", dir="/tmp")
+    spark.createDataFrame(_documents(), SCHEMA).write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    corpus_pipeline.run(spark, folder)
+    assert BATCH_BYTES[0] not in spark.conf.getAll
+
+
 def test_pipeline(spark):
     rows = _documents()
     folder = tempfile.mkdtemp(prefix="tallyspark-test-", dir="/tmp")

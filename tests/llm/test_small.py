@@ -150,6 +150,25 @@ def test_counts_of_documents(spark):
     assert token_counts.token_counts(frame(spark, [])).collect() == []
 
 
+def test_bpe_keeps_little_of_what_comes_once():
+    """Text that does not come again leaves a few steps of the transducer
+    behind, bounds of any size change no id, and what is kept stays packed."""
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    lib = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    rnd = random.Random(6)
+    vocabulary = bpe.Vocabulary(bpe.read_ranks(path))
+    tok = bpe.Tokenizer(vocabulary, public_tokenizers.PATTERN)
+    for n in (3000, 2000, 2000):
+        text = "".join(rnd.choice("etaoinshrdlu") for _ in range(n))
+        assert tok.encode(text) == lib.encode_ordinary(text)
+    assert len(tok.transducer.sets) <= 1 + 3 * bpe.LEARNED and len(tok.transducer.steps) <= 3 * bpe.LEARNED
+    words = ["".join(rnd.choice("etaoin") for _ in range(rnd.randrange(1, 9))) for _ in range(120)]
+    texts = [" ".join(rnd.choice(words) + rnd.choice(["", "", ",", "'s", " \n", "é!"]) for _ in range(40)) for _ in range(60)]
+    for bounded in (tok, bpe.Tokenizer(vocabulary, public_tokenizers.PATTERN, kept=32, states=20)):
+        assert all(bounded.encode(t) == lib.encode_ordinary(t) for t in texts)
+    assert all(isinstance(v, bytes) for v in tok.later.values()) and len(bounded.transducer.sets) < len(tok.transducer.sets)
+
+
 def test_tables_of_a_worker_end_with_their_stage(spark):
     """What a stage's tokenizers have learned is given up by the next stage's
     tasks in the same worker process, without a collection of their own."""
