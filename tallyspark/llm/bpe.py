@@ -29,7 +29,6 @@ import gc
 import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -339,11 +338,10 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-@lru_cache(1)
 def read_vocabulary(path: str) -> Vocabulary:
-    """One per worker process; its size is that of the vocabulary file. The
-    tokenizers' growing tables belong to a stage and end with it."""
-    return Vocabulary(read_ranks(path))
+    """One per worker and stage, as the tokenizers' growing tables: nothing
+    lies beside the stages after it in a reused worker."""
+    return shared(path, lambda: Vocabulary(read_ranks(path)))
 
 
 def tokenizer(path: str, pattern: str, kept: int = MAX_PIECES, states: int = MAX_STATES) -> Tokenizer:

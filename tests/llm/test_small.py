@@ -185,6 +185,18 @@ def test_tables_of_a_worker_end_with_their_stage(spark):
     assert {r.n for r in spark.range(8).repartition(8).mapInArrow(held, "n long").collect()} == {0}
 
 
+def test_vocabulary_of_a_worker_ends_with_its_stage(spark):
+    def held(batches):
+        n = sum(isinstance(o, bpe.Vocabulary) for o in gc.get_objects())
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
+
+    assert bpe.round_trip(frame(spark)).count() == len(ROWS)
+    assert bpe.encode_documents(frame(spark)).agg(F.sum(F.size("ids"))).first()[0] > 0
+    assert language_id.identify(frame(spark)).count() == len(ROWS)
+    assert {r.n for r in spark.range(8).repartition(8).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_language_codes():
     code = language_id.codewords(4)
     assert code.shape == (4, 7) and min((code[i] != code[j]).sum() for i in range(4) for j in range(i)) == 4
