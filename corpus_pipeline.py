@@ -24,6 +24,7 @@ from tallyspark.session import BATCH_BYTES, bound_batches, stage, unstage
 # more than a state: it saves the way through all of its states.
 KEPT_PIECES = 300_000
 KEPT_STATES = 60_000
+LEARNED_STEPS = 2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bound_batches(spark)
-    return bpe.round_trip(docs, with_ids=True, kept=KEPT_PIECES, states=KEPT_STATES)
+    return bpe.round_trip(docs, with_ids=True, kept=KEPT_PIECES, states=KEPT_STATES, learned=LEARNED_STEPS)
 
 
 STAGES = [

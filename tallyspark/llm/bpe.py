@@ -41,9 +41,9 @@ from tallyspark.llm.pretokens import Memo, Splitter, cut
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_STATES = 400_000    # sets of states kept before starting anew
-LEARNED = 2             # steps kept of each path that leads beyond the kept ones
+LEARNED = 8             # steps kept of each path that leads beyond the kept ones
 MAX_PAIRS = 300_000     # tested pairs of tokens kept before starting anew
-MAX_PIECES = 900_000    # cut pieces and words whose ids are kept before starting anew
+MAX_PIECES = 1_800_000  # cut pieces and words whose ids are kept before starting anew
 TOKEN_BITS = 24
 TOKEN_MASK = (1 << TOKEN_BITS) - 1
 CHUNK = 1 << 14         # tokens decoded at a time
@@ -104,8 +104,8 @@ class Vocabulary:
 class Transducer:
     """Encodes pieces of bytes; states are determinised when first met."""
 
-    def __init__(self, vocabulary: Vocabulary, states: int = MAX_STATES):
-        self.most = states
+    def __init__(self, vocabulary: Vocabulary, states: int = MAX_STATES, learned: int = LEARNED):
+        self.most, self.learned = states, learned
         self.ranks, self.bytes_of = vocabulary.ranks, vocabulary.bytes_of
         self.trie, self.edges = vocabulary.trie, vocabulary.edges
         self.pairs: dict[int, bool] = {}  # token before << TOKEN_BITS | token -> stable
@@ -224,8 +224,8 @@ class Transducer:
     def stream(self, data: Iterable[int]) -> Iterator[int]:
         """Token ids of one piece, each as soon as it is certain. Kept steps
         are followed as far as they go; of those beyond them only the first
-        ``LEARNED`` are kept, so that what comes once leaves little behind."""
-        state, get, emits, members, new = 0, self.steps.get, self.emits, None, LEARNED
+        ``learned`` are kept, so that what comes once leaves little behind."""
+        state, get, emits, members, new = 0, self.steps.get, self.emits, None, self.learned
         for byte in data:
             step = get(state << 8 | byte)
             if step is not None:
@@ -264,8 +264,9 @@ class Tokenizer:
     """Encoder and decoder of one vocabulary file. What a piece encodes to is
     kept as its ids, packed in 32 bits each."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, kept: int = MAX_PIECES, states: int = MAX_STATES):
-        self.transducer = Transducer(vocabulary, states)
+    def __init__(self, vocabulary: Vocabulary, pattern: str, kept: int = MAX_PIECES, states: int = MAX_STATES,
+                 learned: int = LEARNED):
+        self.transducer = Transducer(vocabulary, states, learned)
         self.digits = vocabulary.digits
         self.split = Splitter(pattern)
         self.first = Memo(self._piece, "", kept // 16)
@@ -344,9 +345,9 @@ def read_vocabulary(path: str) -> Vocabulary:
     return shared(path, lambda: Vocabulary(read_ranks(path)))
 
 
-def tokenizer(path: str, pattern: str, kept: int = MAX_PIECES, states: int = MAX_STATES) -> Tokenizer:
+def tokenizer(path: str, pattern: str, kept: int = MAX_PIECES, states: int = MAX_STATES, learned: int = LEARNED) -> Tokenizer:
     """One per worker and stage, so that its tasks share what they have learned."""
-    return shared((path, pattern, kept, states), lambda: Tokenizer(read_vocabulary(path), pattern, kept, states))
+    return shared((path, pattern, kept, states, learned), lambda: Tokenizer(read_vocabulary(path), pattern, kept, states, learned))
 
 
 def vocabulary_path(name: str) -> str:
@@ -378,13 +379,14 @@ def decode_documents(encoded: DataFrame, vocabulary: str = VOCABULARY, pattern:
 
 
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN,
-               with_ids: bool = False, kept: int = MAX_PIECES, states: int = MAX_STATES) -> DataFrame:
+               with_ids: bool = False, kept: int = MAX_PIECES, states: int = MAX_STATES, learned: int = LEARNED) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_tokens, ids_sha256, decoded_sha256,
     round_trip`` (the streamed text equals the input) and, if asked for,
     ``ids array<int>``. ``kept`` and ``states`` bound the tables of pieces and
-    of the transducer in a worker; they change memory and time only."""
+    of the transducer in a worker, ``learned`` what a new path adds to it; they
+    change memory and time only."""
     def make():
-        tok = tokenizer(vocabulary_path(vocabulary), pattern, kept, states)
+        tok = tokenizer(vocabulary_path(vocabulary), pattern, kept, states, learned)
 
         def run(ids, texts):
             # the tables hold no cycles, and walking them again and again
