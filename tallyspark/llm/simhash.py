@@ -36,10 +36,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import map_batches, table
+from tallyspark.llm.common import drop_shared, give_back, map_batches, table
 from tallyspark.llm.components import connected_components
 from tallyspark.operators.joins import sized_broadcast
-from tallyspark.session import stage, unstage
+from tallyspark.session import BATCH_BYTES, bound_batches, stage, unstage
 
 SEED = 42
 SMALL_KEYS = 200_000    # keys of dropped rows that are broadcast (about 50 bytes each)
@@ -78,14 +78,16 @@ def text_keys(text_col: str) -> list[F.Column]:
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``(id, h1, h2, fp)`` per row, ``h1`` and ``h2`` being the text's keys."""
-    def run(ids, h1, h2, texts):
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, keys: bool) -> DataFrame:
+    """``(id, fp)`` per row, with ``keys`` ``(id, h1, h2, fp)``, ``h1`` and
+    ``h2`` being the text's keys."""
+    def run(*cols):
+        *kept, texts = cols
         fps = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-        return [ids, h1, h2, fps]
+        return [*kept, fps]
 
-    names = ["id", "h1", "h2", "fp"]
-    return map_batches(docs.select(F.col(id_col).cast("long").alias("id"), *text_keys(text_col),
+    names = ["id", *(["h1", "h2"] if keys else []), "fp"]
+    return map_batches(docs.select(F.col(id_col).cast("long").alias("id"), *(text_keys(text_col) if keys else []),
                                    F.col(text_col).cast("string").alias("t")),
                        run, ", ".join(f"{n} long" for n in names), [(n, pa.int64()) for n in names])
 
@@ -151,6 +153,7 @@ def _linker(max_bits: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_shared()
         kept_keys, kept_fps = [], []
 
         def flush(keys, fps):
@@ -174,6 +177,8 @@ def _linker(max_bits: int):
                 yield flush(done_k, done_f)
         if kept_fps:
             yield flush(np.concatenate(kept_keys), np.concatenate(kept_fps))
+        kept_keys, kept_fps = [], []
+        give_back()
 
     return run
 
@@ -206,19 +211,27 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = 4, hot: int = HOT) ->
     return linked(cold, ["c", "k"]).unionByName(linked(pairs, ["c", "k", "i", "j"]))
 
 
-def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, hot: int, rep) -> tuple[DataFrame, DataFrame]:
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, hot: int, rep,
+            keys: bool) -> tuple[DataFrame, DataFrame]:
     """``(rows, best)``, both stored tables: the rows of ``fingerprints``, and
     per distinct fingerprint its component's least ``rep`` (a column of the
     rows) as ``best``."""
-    rows = stage(fingerprints(docs, id_col, text_col, shingle), "simhash-rows")
+    spark = docs.sparkSession
+    bounded = bound_batches(spark)  # whole texts go to Python here
+    try:
+        rows = stage(fingerprints(docs, id_col, text_col, shingle, keys), "simhash-rows")
+    finally:
+        if bounded:
+            spark.conf.unset(BATCH_BYTES[0])
     reps = stage(rows.groupBy("fp").agg(F.min(rep).alias("rep")), "simhash-reps")
-    comps = stage(connected_components(fingerprint_links(reps.select("fp"), max_bits, hot)), "simhash-comps")
+    # a fingerprint is once in either table: no partition to split, nothing to store between
+    comps = connected_components(fingerprint_links(reps.select("fp"), max_bits, hot))
     roots = reps.join(comps, reps["fp"] == comps["node"], "left").select(
         "fp", "rep", F.coalesce("component", "fp").alias("root"))
     roots = stage(roots, "simhash-roots")
     best = stage(roots.groupBy("root").agg(F.min("rep").alias("best")), "simhash-best")
     named = stage(roots.join(best, "root").select("fp", "best"), "simhash-named")
-    unstage(reps, comps, roots, best)
+    unstage(reps, roots, best)
     return rows, named
 
 
@@ -226,7 +239,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        shingle: int = 4, max_bits: int = 4, hot: int = HOT) -> DataFrame:
     """One row per document: ``id_col``, ``fingerprint`` (16 hex digits) and
     ``component_id`` (smallest id reachable by links, itself included)."""
-    rows, named = _rooted(docs, id_col, text_col, shingle, max_bits, hot, F.col("id"))
+    rows, named = _rooted(docs, id_col, text_col, shingle, max_bits, hot, F.col("id"), keys=False)
     # both sides are stored tables: AQE splits the partition of a hot fingerprint
     return rows.join(named, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -241,7 +254,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     different texts lose nothing; a row that is repeated (same id and text)
     stays once."""
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "h1", "h2")
-    rows, named = _rooted(docs, id_col, text_col, shingle, max_bits, HOT, order)
+    rows, named = _rooted(docs, id_col, text_col, shingle, max_bits, HOT, order, keys=True)
     best = F.col("best")
     stays = (F.col("id").eqNullSafe(best["id"]) & (F.col("h1") == best["h1"]) & (F.col("h2") == best["h2"]))
     # both sides are stored tables: AQE splits the partition of a hot fingerprint

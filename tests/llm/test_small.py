@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.llm import bpe, exact_dedup, language_id, piece_bpe, simhash, source_mix, token_counts, toxicity, url_filter
 from tallyspark.llm.pretokens import Splitter
+from tallyspark.session import BATCH_BYTES, stage
 
 ROWS = [(1, "a b c d e", "s"), (2, " a  b c\nd e", "s"), (3, None, None), (4, "", "t"), (5, "abcde", "t"),
         (6, "x y", None), (6, "x y", None), (None, "a b c d e f", "s"), (7, "Ünï 1,2 \U0003f764눭 don't\n\n end ", "u")]
@@ -70,6 +71,23 @@ def test_simhash(spark, hot):
     assert simhash.simhash_components(frame(spark, [])).collect() == []
 
 
+def test_simhash_sends_small_batches_and_keeps_two_columns(spark, monkeypatch):
+    """Texts go to Python in bounded batches, later steps without that bound;
+    per document only its id and fingerprint are stored."""
+    seen = {}
+
+    def stored(df, name):
+        seen[name] = (df.columns, spark.conf.get(BATCH_BYTES[0], None) if BATCH_BYTES[0] in spark.conf.getAll else None)
+        return stage(df, name)
+
+    monkeypatch.setattr(simhash, "stage", stored)
+    assert BATCH_BYTES[0] not in spark.conf.getAll
+    rows = simhash.simhash_components(frame(spark, [(1, "a b", "s"), (2, "A b", "s"), (3, None, "s")])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {1: 1, 2: 1, 3: 3}
+    assert seen["simhash-rows"] == (["id", "fp"], BATCH_BYTES[1])
+    assert seen["simhash-reps"][1] is None and BATCH_BYTES[0] not in spark.conf.getAll
+
+
 def test_near_copies_with_null_and_shared_ids(spark):
     rnd = random.Random(8)
     base = [" ".join(f"w{rnd.randrange(900)}" for _ in range(200)) for _ in range(9)]
