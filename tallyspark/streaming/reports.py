@@ -28,7 +28,7 @@ def start_report_stream(spark: SparkSession, source_dir: str, checkpoint_locatio
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         ts = run_ts()
-        parsed, candidates = read_reports_with_markers(spark, batch)
+        parsed, candidates, _ = read_reports_with_markers(spark, batch)
         result = load_reports(parsed, metric_map, suites, time_dim, level, ts, candidates=candidates)
         upsert(spark, result.rows, target_path, ts)
 
