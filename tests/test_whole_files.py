@@ -3,6 +3,8 @@ shuffle, and no listing of them all on the driver."""
 
 from __future__ import annotations
 
+import datetime
+import glob
 import os
 import random
 
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from reports import dims, month_report, write_reports
 from tallyspark.functions import quotes
+from tallyspark.plans import queries
 from tallyspark.plans.load import load_files
 from tallyspark.sources import reports
 
@@ -86,3 +89,37 @@ def test_other_cells_than_the_first_are_split_as_all_cells(spark):
     rows = reports.parse_lines(df).join(df.select("pos", quotes.cells(F.col("line")).alias("all")), "pos").collect()
     for r in rows:
         assert [r[c] for c in reports.REPORT_COLS] == [x or None for x in r["all"]] + [None] * (13 - len(r["all"])), r.line
+
+
+def _tables(spark, folder):
+    """A few customers of the nations that the queries spoil, with orders of three years."""
+    people = [(k * 7_000, f"c{k}", k % 7, -1.0 if k % 3 == 0 else 1.0, ["BUILDING", "MACHINERY"][k % 2]) for k in range(14)]
+    orders = [(k * 14 + i, k * 7_000, "FOP"[(k + i) % 3], 10.0, datetime.date(1995 + i % 3, 1 + (k * i) % 12, 3),
+               ["1-URGENT", "5-LOW"][(k + i) % 2]) for k in range(14) for i in range(9)]
+    for name, rows, schema in [
+            ("customer", people, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+            ("orders", orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string"),
+            ("nation", [(n, f"N{n}", n % 2) for n in range(7)], "n_nationkey int, n_name string, n_regionkey int"),
+            ("region", [(0, "ASIA"), (1, "MIDDLE EAST")], "r_regionkey int, r_name string")]:
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_files_are_written_and_read_some_at_a_time(spark, tmpdir_path, monkeypatch):
+    _tables(spark, tmpdir_path)
+    once = [sorted(map(tuple, q(spark, tmpdir_path).collect())) for q in (queries.load_reject_reasons, queries.load_quotes)]
+    assert {r[2] for r in once[0]} >= {"no_year", "empty_report", "unbalanced_quote", "label_parts"} and len(once[1]) > 1000
+    read, text = [], type(spark.read).text
+    monkeypatch.setattr(type(spark.read), "text", lambda self, paths, **k: read.append(paths) or text(self, paths, **k))
+    monkeypatch.setattr(queries, "FILES_AT_ONCE", 12)
+    parts = [sorted(map(tuple, q(spark, tmpdir_path).collect())) for q in (queries.load_reject_reasons, queries.load_quotes)]
+    assert parts == once
+    files = [len(glob.glob(f"{p[0].removeprefix('file:')}/rid=*")) for p in read]
+    assert len(files) == 10 and sum(files) > 40 and max(files) < sum(files) / 4
+
+
+def test_no_order_no_report(spark, tmpdir_path):
+    _tables(spark, tmpdir_path)
+    spark.read.parquet(f"{tmpdir_path}/orders.parquet").limit(0).write.parquet(f"{tmpdir_path}/none")
+    os.rename(f"{tmpdir_path}/orders.parquet", f"{tmpdir_path}/some")
+    os.rename(f"{tmpdir_path}/none", f"{tmpdir_path}/orders.parquet")
+    assert queries.load_reject_reasons(spark, tmpdir_path).collect() == []
